@@ -20,7 +20,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnloom.llm.shared import LOWER_ASCII, stored
@@ -82,9 +82,8 @@ def links(fps: DataFrame, dense: int = DENSE) -> DataFrame:
 
     fps: one column fp of distinct values.
     """
-    variants = _variants(fps)
-    shared = stored(variants.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "variants")
-    members = stored(variants.join(shared, "key"), "members")
+    many = F.count(F.lit(1)).over(Window.partitionBy("key"))
+    members = stored(_variants(fps).withColumn("n", many).where("n > 1"), "members")
 
     few = members.where(F.col("n") <= dense)
     left, right = few.select("key", F.col("fp").alias("a")), few.select(F.col("key").alias("other_key"), F.col("fp").alias("b"))

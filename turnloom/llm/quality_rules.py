@@ -18,7 +18,7 @@ from math import log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from turnloom.llm.shared import WORD_CHARACTER, stored, words
+from turnloom.llm.shared import WORD_CHARACTER, held, stored, words
 
 #: Rules, as name: (condition for good, condition for bad); neither: the rule abstains. Columns are those of measured().
 RULES: dict[str, tuple[str, str]] = {
@@ -72,7 +72,7 @@ def measured(docs: DataFrame, text: str, names: list[str]) -> DataFrame:
         F.size(w), F.length(F.array_join(w, "")), F.regexp_count(body, F.lit("[#*$%&|<>]")), F.size(lines) - F.size(F.array_distinct(lines)), F.coalesce(covered, F.lit(0)),
         F.size(lines), F.length(F.regexp_replace(body, r"[^\p{L}]+", "")), F.length(F.regexp_replace(body, r"[^\p{Lu}]+", "")),
     ]
-    return df.withColumns({n: m.cast("long") for n, m in zip(names, measures, strict=True)}).drop(w, lines, windows, twice, places)
+    return df.withColumns({n: held(m.cast("long")) for n, m in zip(names, measures, strict=True)}).drop(w, lines, windows, twice, places)
 
 
 def _over(names: list[str], condition: str) -> Column:
@@ -158,8 +158,4 @@ def judged(docs: DataFrame, *, text_col: str = "text", rules: dict[str, tuple[st
 def kept(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
     """The documents that judged() keeps, all columns as they were."""
     found = judged(docs, text_col=text_col)
-    (number,) = _free(["_number"], found.columns)
-    # Spark moves a filter below the columns it uses and writes their expressions out in it, one inside the other; it
-    # does not where a column is not deterministic, as this one that every row passes
-    found = found.withColumn(number, F.monotonically_increasing_id())
-    return found.where(F.col(found.columns[-2])["kept"] & (F.col(number) >= 0)).select(*docs.columns)
+    return found.where(F.col(found.columns[-1])["kept"]).select(*docs.columns)

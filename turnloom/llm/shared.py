@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +28,15 @@ def words(text: Column) -> Column:
     return F.when(stripped == "", F.array().cast("array<string>")).otherwise(F.split(stripped, WHITE_SPACE_RUN))
 
 
+def held(column: Column) -> Column:
+    """The column, evaluated where it stands.
+
+    Spark moves a filter below the columns that it uses and writes their expressions out in it, one inside the other;
+    inside a lambda they would be evaluated for each element. It does not where a column is not deterministic.
+    """
+    return F.when(F.monotonically_increasing_id() >= 0, column)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset."""
     if folder := spark.conf.get("spark.checkpoint.dir", None):
@@ -59,3 +69,15 @@ def portions(column: pa.Array, chars: int = 1 << 20) -> Iterator[list[str]]:
             portion, held = [], 0
     if portion:
         yield portion
+
+
+def slices(batch: pa.RecordBatch, texts: int, chars: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about as many bytes of the text column with that index, so that what is made of a slice stays small."""
+    start, held = 0, 0
+    for k, n in enumerate(pc.fill_null(pc.binary_length(batch.column(texts)), 0).to_pylist()):
+        held += n
+        if held >= chars:
+            yield batch.slice(start, k + 1 - start)
+            start, held = k + 1, 0
+    if start < batch.num_rows:
+        yield batch.slice(start)

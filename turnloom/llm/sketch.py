@@ -10,6 +10,8 @@ of their id, with the first of each range copied into the range before it.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,8 +26,7 @@ def sketch(text: Column, shingle: int = SHINGLE, one_in: int = ONE_IN) -> Column
     A text with fewer words than a shingle has one shingle of all its words; a null text or one without words an empty
     sketch. For several sketches at a time, sketches() evaluates each step once.
     """
-    hashes = _hashes(words(text), shingle)
-    return _kept(hashes, _below(hashes, one_in))
+    return _let(words(text), lambda w: _let(_hashes(w, shingle), lambda h: _let(_below(h, one_in), lambda b: _kept(h, b))))
 
 
 def sketches(df: DataFrame, texts: dict[str, str], shingle: int = SHINGLE, one_in: int = ONE_IN) -> DataFrame:
@@ -39,6 +40,11 @@ def sketches(df: DataFrame, texts: dict[str, str], shingle: int = SHINGLE, one_i
     return df.drop(*[f"{name}__below" for name in texts])
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is evaluated once, not wherever body uses it."""
+    return F.get(F.transform(F.array(value), lambda x: body(x)), F.lit(0))
+
+
 def _hashes(tokens: Column, shingle: int) -> Column:
     count = F.size(tokens)
     rolled = F.transform(F.sequence(F.lit(0), count - shingle), lambda i: F.xxhash64(*[F.get(tokens, i + k) for k in range(shingle)]))
@@ -73,7 +79,7 @@ def containment(a: Column, b: Column) -> Column:
 def merged(a: Column, b: Column, one_in: int = ONE_IN) -> Column:
     """The sketch of what two sketches stand for together."""
     union = F.array_union(a, b)
-    return _kept(union, _below(union, one_in))
+    return _let(union, lambda u: _kept(u, _below(u, one_in)))
 
 
 def shown(hashes: Column) -> Column:

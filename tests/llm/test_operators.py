@@ -468,15 +468,16 @@ def test_registered_queries_have_sql_that_agrees(spark, sf):
 
 def test_pipeline(spark, sf):
     import corpus_pipeline
+    from turnloom.llm.shared import stored
 
     docs = spark.read.parquet(f"{sf}/documents.parquet")
-    good = corpus_pipeline.keep_good(spark, docs, sf)
-    lines = corpus_pipeline.drop_repeated_lines(spark, good, sf)
-    one = corpus_pipeline.keep_one_of_each(spark, lines, sf)
+    kept = [docs]
+    for name, stage in corpus_pipeline.STAGES:
+        kept.append(stored(stage(spark, kept[-1], sf), name.replace(" ", "-")))
+    _, good, lines, one, packed = kept
     assert good.columns == lines.columns == one.columns == docs.columns
     assert got(lines, "doc_id") == got(good, "doc_id") and lines.where("length(text) <> n_chars").count() == 0
-    groups = simhash.near_duplicates(lines, shingle=5).select("component_id").distinct().count()
-    assert one.count() == groups
-    packed = [tuple(r) for r in corpus_pipeline.run(spark, sf).collect()]
-    sequences(packed)
-    assert {r[0] for r in packed} == {r[0] for r in got(one, "doc_id")}
+    assert one.count() == simhash.near_duplicates(lines, shingle=5).select("component_id").distinct().count()
+    rows = [tuple(r) for r in packed.collect()]
+    sequences(rows)
+    assert {r[0] for r in rows} == {r[0] for r in got(one, "doc_id")}

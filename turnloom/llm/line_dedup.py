@@ -5,8 +5,8 @@ stays where it occurs first (by document id, then position); each later occurren
 what is marked is removed. So a passage goes from where it is repeated, and lines that only happen to be the same stay.
 
 Everything is DataFrame and SQL expressions. A window travels as two 64-bit hashes and its place; the counts are summed
-before the shuffle, so a passage that very many documents share is one row per task. The texts move only if the marks
-are too many to be sent to every task.
+before the shuffle, so a passage that very many documents share is one row per task. Then the texts move once, to the
+marks of their lines: these grow with the corpus and are never broadcast.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from turnloom.llm.shared import WHITE_SPACE, WORD_CHARACTER, stored
+from turnloom.llm.shared import WHITE_SPACE, WORD_CHARACTER, held, stored
 
 WINDOW = 3
 
@@ -42,8 +42,8 @@ def repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     found = windows(docs, id_col=id_col, text_col=text_col, size=size)
     place = F.struct("doc_id", "text_hash", "at")
     known = found.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("h1", "h2", "first")
-    # stored, so that its size is known before the join, and a passage with very many places can be dealt to several tasks
-    later = found.join(stored(known, "repeated-windows"), ["h1", "h2"]).where(~place.eqNullSafe(F.col("first")))
+    # stored, so that both sides of the join are plain exchanges: Spark deals a passage with very many places to several tasks
+    later = found.join(stored(known, "repeated-windows").hint("merge"), ["h1", "h2"]).where(~place.eqNullSafe(F.col("first")))
     return later.groupBy("doc_id", "text_hash").agg(F.collect_set("at").alias("places"))
 
 
@@ -55,15 +55,15 @@ def without_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     before all others; rows with the same id are in the order of a hash of their texts, and rows that repeat id and text
     are one document; white space around a line makes no difference to what is equal; an empty table gives no rows.
     """
-    extra = ["_marked_id", "_marked_hash", "_places", "_lines", "_gone"]
+    extra = ["_marked_id", "_marked_hash", "_places", "_lines", "_numbers", "_gone"]
     while {c.lower() for c in docs.columns} & set(extra):
         extra = [c + "_" for c in extra]
-    marked_id, marked_hash, places, lines, gone = extra
+    marked_id, marked_hash, places, lines, numbers, gone = extra
     marks = stored(repeats(docs, id_col=id_col, text_col=text_col, size=size).toDF(marked_id, marked_hash, places), "repeats")
     same = docs[id_col].cast("long").eqNullSafe(marks[marked_id]) & (F.xxhash64(docs[text_col]) == marks[marked_hash])
-    numbers = F.transform(_numbered(F.col(text_col)), lambda x: x["number"])
-    joined = docs.join(marks, same, "left").withColumn(lines, F.when(F.col(places).isNotNull(), F.split(text_col, "\n")))
-    joined = joined.withColumn(gone, F.when(F.col(places).isNotNull(), F.array_distinct(F.flatten(F.transform(places, lambda p: F.slice(numbers, p + 1, size))))))
+    joined = docs.join(marks.hint("merge"), same, "left").withColumn(lines, held(F.when(F.col(places).isNotNull(), F.split(text_col, "\n"))))
+    numbered = joined.withColumn(numbers, held(F.when(F.col(places).isNotNull(), F.transform(_numbered(F.col(text_col)), lambda x: x["number"]))))
+    joined = numbered.withColumn(gone, held(F.array_distinct(F.flatten(F.transform(places, lambda p: F.slice(numbers, p + 1, size))))))
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone))
     if count:
         joined = joined.withColumn(count, F.when(F.col(places).isNull(), 0).otherwise(F.size(gone)).cast("long"))

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from turnloom.llm.shared import LOWER_ASCII, stored
+from turnloom.llm.shared import LOWER_ASCII, slices, stored
 from turnloom.session import map_arrow
 
 #: At most so many tokens are frequent, contexts of one depth are kept, and probabilities of one depth are stored.
@@ -51,7 +51,7 @@ def count_tokens(texts: DataFrame) -> DataFrame:
     schema = pa.schema([("token", pa.string()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 0, 16 << 20)):
             counts: Counter[bytes] = Counter()
             for text in batch.column(0):
                 counts.update(_tokens(text))
@@ -147,7 +147,7 @@ def _next_counts(texts: DataFrame, tree: Tree, depth: int, candidates: np.ndarra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, contexts = shared.value
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 0)):
             ids, ends, _ = model.ids(batch.column(0))
             place = _place(contexts, model.context_codes(ids, ends, depth))
             codes, n = np.unique((place * h + ids)[(place >= 0) & (ids >= 0)], return_counts=True)
@@ -230,9 +230,7 @@ def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", de
         model = shared.value
         row = TaskContext.get().partitionId() << 40
         log_count = np.append(np.log10(model.counts + 1), 0.0)  # the last: tokens that aren't frequent, for now
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in (part for whole in batches for part in slices(whole, 1)):
             ids, ends, words = model.ids(batch.column(1))
             begins = np.concatenate([[0], ends[:-1]])
             others = []

@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from turnloom.llm import line_dedup, packing, quality_rules, simhash
+from turnloom.llm import line_dedup, near_copies, packing, quality_rules
 from turnloom.llm.shared import stored
 
 
@@ -27,8 +27,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: five-word shingles, fingerprints that differ in at most three bits."""
-    return simhash.one_of_each(docs, shingle=5)
+    """One document of each group of near duplicates: an exact Jaccard similarity of five-word shingles of at least 0.8."""
+    return near_copies.one_of_each(docs)
 
 
 def pack_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +41,7 @@ def pack_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality rules", keep_good),
     ("line dedup", drop_repeated_lines),
-    ("SimHash near-dedup", keep_one_of_each),
+    ("near-dedup", keep_one_of_each),
     ("packing", pack_tokens),
 ]
 
@@ -54,5 +54,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
-#: XXH64 fingerprints, their components and packing are beyond SQL; tests compare the stages with brute force.
+#: Shingle hashes, the components of near copies and packing are beyond SQL; tests compare the stages with brute force.
 ORACLE_SQL = None

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
-from turnloom.llm import chat_format, html_text, line_dedup, packing, pieces, quality_rules, queries, simhash, sketch, suffix_tree, warc  # noqa: E402
+from turnloom.llm import chat_format, html_text, line_dedup, near_copies, packing, pieces, quality_rules, queries, simhash, sketch, suffix_tree, warc  # noqa: E402
 
 WHITE = " \t\n\x0b\x0c\r"
 BYTE_BPE, PIECES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
@@ -261,6 +261,43 @@ def test_links_in_dense_clusters(spark, dense):
     assert sorted(map(sorted, found.values())) == sorted(sorted(x) for x in expected.values() if len(x) > 1)
 
 
+# near copies by Jaccard similarity
+
+
+@pytest.mark.parametrize("common", [8, 2])
+def test_near_copies(spark, docs, plain, monkeypatch, common):
+    monkeypatch.setattr(near_copies, "COMMON", common)
+    rng = random.Random(11)
+    rows = list(plain)
+    for k in range(40):  # copies with a few words changed, on both sides of the limit
+        text = [rng.choice("abcdefghijklmnopqrst") * rng.randint(1, 4) for _ in range(rng.randint(5, 200))]
+        rows.append((1000 + 10 * k, " ".join(text)))
+        for c in range(1, 5):
+            copy = list(text)
+            for at in rng.sample(range(len(copy)), min(len(copy), rng.randint(1, 1 + len(copy) // 30))):
+                copy[at] = "changed"
+            rows.append((1000 + 10 * k + c, " ".join(copy)))
+
+    def shingles(text):
+        own = ["".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in w) for w in words(text)]
+        return {tuple(own[i : i + 5]) for i in range(max(1, len(own) - 4))} if own else set()
+
+    found = [shingles(t) for _, t in rows]
+    root = list(range(len(rows)))
+    far = 0
+    for a in range(len(rows)):
+        for b in range(a):
+            if 5 * len(found[a] & found[b]) >= 4 * len(found[a] | found[b]):
+                far += root[a] != root[b] and (simhash.fingerprint(rows[a][1] or "", 5) ^ simhash.fingerprint(rows[b][1] or "", 5)).bit_count() > simhash.NEAR
+                root = [root[b] if r == root[a] else r for r in root]
+    assert far > 20
+    order = lambda k: (rows[k][0] is None, rows[k][0] or 0)
+    expected = sorted((str(rows[min((k for k in range(len(rows)) if root[k] == r), key=order)][0]) for r in set(root)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(str(r["doc_id"]) for r in near_copies.one_of_each(df).collect()) == expected
+    assert near_copies.one_of_each(docs).columns == docs.columns and near_copies.one_of_each(docs.limit(0)).count() == 0
+
+
 # sketches
 
 

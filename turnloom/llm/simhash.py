@@ -166,8 +166,13 @@ def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     The one that stays is that with the group's smallest id (of several with that id, the one with the smallest text
     hash); a group without any id keeps the one with the smallest text hash. Rows that repeat id and text count once.
     """
+    return first_of_each(docs, _grouped(docs, id_col, text_col, shingle, seed, dense), id_col=id_col, text_col=text_col)
+
+
+def first_of_each(docs: DataFrame, grouped: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The first document of each group, as one_of_each chooses it; grouped: doc_id, text_hash, root for each row of docs."""
     first = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "text_hash")).alias("first")
-    kept = _grouped(docs, id_col, text_col, shingle, seed, dense).groupBy("root").agg(first)
+    kept = grouped.groupBy("root").agg(first)
     mark = "_hash_of_text"
     while mark.lower() in {c.lower() for c in docs.columns}:
         mark += "_"

@@ -20,10 +20,10 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without passages of three lines that occurred before; every document stays, n_chars follows the text."""
+    """Texts without passages of three lines, or whole texts of fewer, that occurred before; every document stays, n_chars follows the text."""
     from pyspark.sql import functions as F
 
-    return line_dedup.without_repeats(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    return line_dedup.without_repeats(docs, short=True).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -418,6 +418,18 @@ def test_line_dedup(docs, plain):
     assert line_dedup.without_repeats(docs).columns == docs.columns and line_dedup.without_repeats(docs.limit(0)).count() == 0
 
 
+def test_line_dedup_of_short_texts(spark):
+    import corpus_pipeline
+
+    rows = [(1, "one line"), (2, " one line\n"), (3, "a\n\nb"), (4, "a\nb"), (5, "a b"), (6, "a\nb\nc"), (7, "x\na\nb\nc"), (8, None), (9, ""), (10, "\n"), (11, "a"), (12, "b\na"), (None, "b\na")]
+    df = spark.createDataFrame([(i, t, 0) for i, t in rows], "doc_id long, text string, n_chars long")
+    expected = dict(rows) | {2: "", 4: "", 7: "x", 12: ""}
+    found = {r["doc_id"]: (r["text"], r["n_chars"]) for r in corpus_pipeline.drop_repeated_lines(spark, df, "").collect()}
+    assert {i: " ".join((t or "").split()) for i, (t, _) in found.items()} == {i: " ".join((t or "").split()) for i, t in expected.items()}
+    assert all(n == (None if t is None else len(t)) for t, n in found.values())
+    assert {r["doc_id"]: r["text"] for r in line_dedup.without_repeats(df).collect()} == dict(rows) | {7: "x"}
+
+
 # WARC
 
 

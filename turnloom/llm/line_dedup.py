@@ -25,21 +25,28 @@ def _numbered(text: Column) -> Column:
     return F.filter(numbered, lambda x: x["line"].rlike(WORD_CHARACTER))
 
 
-def windows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = WINDOW) -> DataFrame:
-    """doc_id, text_hash, h1, h2, at: a row for each window, with its place among the lines that have a word."""
+def windows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = WINDOW, short: bool = False) -> DataFrame:
+    """doc_id, text_hash, h1, h2, at: a row for each window, with its place among the lines that have a word.
+
+    short: a text with fewer such lines than a window, but at least one, is one window of those it has.
+    """
     rows = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), _numbered(F.col(text_col)).alias("lines"))
     line = lambda i, k: F.get("lines", i + k)["line"]
     hashed = F.transform(
         F.sequence(F.lit(0), F.size("lines") - size),
         lambda i: F.struct(F.xxhash64(*[line(i, k) for k in range(size)]).alias("h1"), F.xxhash64(F.lit(size), *[line(i, k) for k in range(size)]).alias("h2"), i.alias("at")),
     )
+    found = F.when(F.size("lines") >= size, hashed)
+    if short:
+        bare = F.transform("lines", lambda x: x["line"])
+        found = found.when(F.size("lines") > 0, F.array(F.struct(F.xxhash64(bare).alias("h1"), F.xxhash64(F.size("lines"), bare).alias("h2"), F.lit(0).alias("at"))))
     # the outer form, for Spark would evaluate the other one twice, to filter out empty arrays beforehand
-    return rows.select("doc_id", "text_hash", F.inline_outer(F.when(F.size("lines") >= size, hashed))).where("h1 IS NOT NULL")
+    return rows.select("doc_id", "text_hash", F.inline_outer(found)).where("h1 IS NOT NULL")
 
 
-def repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = WINDOW) -> DataFrame:
+def repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = WINDOW, short: bool = False) -> DataFrame:
     """doc_id, text_hash, places: where in a document windows are that occurred before."""
-    found = windows(docs, id_col=id_col, text_col=text_col, size=size)
+    found = windows(docs, id_col=id_col, text_col=text_col, size=size, short=short)
     place = F.struct("doc_id", "text_hash", "at")
     known = found.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("h1", "h2", "first")
     # stored, so that both sides of the join are plain exchanges: Spark deals a passage with very many places to several tasks
@@ -47,10 +54,11 @@ def repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     return later.groupBy("doc_id", "text_hash").agg(F.collect_set("at").alias("places"))
 
 
-def without_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = WINDOW, count: str | None = None) -> DataFrame:
+def without_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = WINDOW, count: str | None = None, short: bool = False) -> DataFrame:
     """docs with repeated passages taken out of the text, all columns as they were; count: a column more, of removed lines.
+    short: texts with fewer than three lines that have a word are one window of those they have, and go where they are repeated whole.
 
-    Defined results: null and empty texts and texts with fewer than three lines that have a word stay as they are; a
+    Defined results: null and empty texts, and without short texts with fewer than three lines that have a word, stay as they are; a
     text that is wholly repeated becomes empty (its row stays); lines without a word stay and count for no window; a null id comes
     before all others; rows with the same id are in the order of a hash of their texts, and rows that repeat id and text
     are one document; white space around a line makes no difference to what is equal; an empty table gives no rows.
@@ -59,7 +67,7 @@ def without_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     while {c.lower() for c in docs.columns} & set(extra):
         extra = [c + "_" for c in extra]
     marked_id, marked_hash, places, lines, numbers, gone = extra
-    marks = stored(repeats(docs, id_col=id_col, text_col=text_col, size=size).toDF(marked_id, marked_hash, places), "repeats")
+    marks = stored(repeats(docs, id_col=id_col, text_col=text_col, size=size, short=short).toDF(marked_id, marked_hash, places), "repeats")
     same = docs[id_col].cast("long").eqNullSafe(marks[marked_id]) & (F.xxhash64(docs[text_col]) == marks[marked_hash])
     joined = docs.join(marks.hint("merge"), same, "left").withColumn(lines, held(F.when(F.col(places).isNotNull(), F.split(text_col, "\n"))))
     numbered = joined.withColumn(numbers, held(F.when(F.col(places).isNotNull(), F.transform(_numbered(F.col(text_col)), lambda x: x["number"]))))

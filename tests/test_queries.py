@@ -28,3 +28,9 @@ def test_entry(spark):
 
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_every_part_is_a_candidate(spark, sf):
+    parts = spark.read.parquet(f"{sf}/part.parquet").count()
+    assert queries._candidates(spark, sf).count() == parts
+    assert {r["candidate_id"] % 3 for r in queries.symbol_exact(spark, sf).collect()} == {0, 1, 2}

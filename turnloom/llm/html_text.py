@@ -1,61 +1,39 @@
 """Layout-aware text of HTML pages.
 
-Tags are read by one regular expression. An element stack applies HTML's implied tags (a new paragraph, list item, cell
-or option ends the one before; a block ends an open paragraph; end tags close what was left open inside), and each
-element carries whether it is seen (hidden, style and element rules), whether white space counts, and where its text
-goes. Text is laid out as a browser would show it: white space collapses, blocks stand on lines of their own with a
-blank line around paragraphs, headings, lists and tables, list items have bullets or numbers and an indent, and the
-cells of a table are padded to columns.
+A scanner and a tree builder (html_tree) make a tree with HTML's implied tags, foster parenting and visibility; this
+module lays it out as a browser would show it: white space collapses, blocks stand on lines of their own with a blank line around
+paragraphs, headings, lists and tables, list items have bullets or numbers and an indent, and the cells of a table are
+padded to columns, over column and row spans.
+
+Everything takes time in proportion to the page. For that, what would grow with the square of the nesting is bounded by
+rule: lists indent up to LIST_DEPTH levels; tables align up to TABLE_DEPTH levels (deeper ones show a cell per line) and
+up to TABLE_WIDTH characters a line (in wider ones two blanks part the cells of a line), and row spans hold their places
+in the first HELD_COLUMNS columns. No text is lost by that.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
-from dataclasses import dataclass, field
-from html import unescape
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from turnloom.llm.html_tree import CELLS, HEADINGS, LISTS, Node, tree
 from turnloom.llm.shared import portions
 from turnloom.session import map_arrow
 
-#: Fixed by HTML: elements without content, and those whose content is text up to their end tag.
-VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-#: Fixed by HTML: elements that are not shown.
-UNSEEN = frozenset("head title script style template noscript datalist iframe object audio video canvas svg math noembed noframes meta link base source track param select".split())
-#: Fixed by HTML: blocks, and those of them with a margin.
-SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl menu dir table blockquote pre figure fieldset hr xmp listing".split())
-BLOCKS = SPACED | frozenset("html body address article aside center details dialog dd div dt figcaption footer form header hgroup legend li main nav optgroup option search section summary tr td th caption thead tbody tfoot".split())
-LISTS = frozenset("ul ol menu dir".split())
-CELLS = frozenset(("td", "th"))
-#: Fixed by HTML: which open elements a start tag ends, and which elements it does not look beyond.
-_TABLE_EDGE = frozenset(("table", "td", "th", "caption"))
-_ENDS: dict[str, tuple[frozenset[str], frozenset[str]]] = {
-    "li": (frozenset(("li",)), LISTS | _TABLE_EDGE),
-    "dt": (frozenset(("dt", "dd")), frozenset(("dl",)) | _TABLE_EDGE),
-    "dd": (frozenset(("dt", "dd")), frozenset(("dl",)) | _TABLE_EDGE),
-    "option": (frozenset(("option",)), frozenset(("select",))),
-    "td": (frozenset(("td", "th", "caption")), frozenset(("tr", "table"))),
-    "th": (frozenset(("td", "th", "caption")), frozenset(("tr", "table"))),
-    "tr": (frozenset(("tr", "caption", "colgroup")), frozenset(("table",))),
-    **{group: (frozenset(("thead", "tbody", "tfoot", "caption", "colgroup")), frozenset(("table",))) for group in ("thead", "tbody", "tfoot")},
-    "body": (frozenset(("head",)), frozenset()),
-}
-_ENDS_PARAGRAPH = BLOCKS - frozenset("html body option optgroup tr td th caption thead tbody tfoot".split())
-_NO_END_BEYOND = _TABLE_EDGE | frozenset(("button", "object"))
-_HEAD_ONLY = frozenset("head html meta link base title style script template noscript".split())
-
-_TAG = re.compile(r"<!--(?:.*?-->|>|->|.*\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>", re.S)
-_ATTRIBUTE = re.compile(r"([^\s=>\"'/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+#: Fixed by HTML: blocks with a margin, and the largest spans.
+SPACED = LISTS | HEADINGS | frozenset("p dl table blockquote pre figure fieldset hr xmp listing".split())
+MOST_COLUMNS, MOST_ROWS = 1000, 65534
+LIST_DEPTH, TABLE_DEPTH, TABLE_WIDTH, HELD_COLUMNS = 16, 6, 2000, 128
+
 _SPACE = re.compile(r"[ \t\n\r\f]+")
-_HIDING = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
 
 
-class _Lines:
+class _Flow:
     """Laid-out lines of one flow: the page, or a table cell."""
 
     def __init__(self):
@@ -63,8 +41,8 @@ class _Lines:
         self.line: list[str] = []  # of the open line
         self.space = False  # whether white space is due before what comes next
         self.blank = False  # whether a blank line is due before the next line
-        self.indents: list[str] = []
-        self.marker = ""  # of the list item whose first line comes next
+        self.indents = [""]
+        self.marker = ""  # of the list item whose first line comes next, with its indent
 
     def text(self, text: str) -> None:
         """Inline text; white space collapses."""
@@ -74,28 +52,22 @@ class _Lines:
             return
         if collapsed[0] == " ":
             self.space = True
-        bare = collapsed.strip(" ")
         if self.space and self.line:
             self.line.append(" ")
-        self.line.append(bare)
+        self.line.append(collapsed.strip(" "))
         self.space = collapsed[-1] == " "
 
-    def _prefix(self) -> str:
-        prefix = "".join(self.indents)
-        if self.marker:
-            prefix, self.marker = prefix[: len(prefix) - len(self.marker)] + self.marker, ""
-        return prefix
-
-    def _put(self, line: str) -> None:
+    def put(self, line: str) -> None:
         if self.blank and self.lines:
             self.lines.append("")
         self.blank = False
-        self.lines.append((self._prefix() + line).rstrip(" "))
+        prefix, self.marker = self.marker or self.indents[-1], ""
+        self.lines.append((prefix + line).rstrip(" "))
 
     def end_line(self, margin: bool = False) -> None:
         """Ends the open line, if it has text; margin: a blank line is due."""
         if self.line:
-            self._put("".join(self.line))
+            self.put("".join(self.line))
             self.line = []
         self.space = False
         self.blank |= margin and bool(self.lines)
@@ -108,14 +80,26 @@ class _Lines:
 
     def verbatim(self, text: str) -> None:
         """Text in which white space counts."""
-        first, *rest = text.expandtabs(8).replace("\r\n", "\n").split("\n")
+        if self.space and self.line:
+            self.line.append(" ")
+        self.space = False
+        first, *rest = text.expandtabs(8).split("\n")
         self.line.append(first)
         for line in rest:
-            self._put("".join(self.line))
+            self.put("".join(self.line))
             self.line = [line]
         if self.line == [""]:
             self.line = []
 
+    def indent(self, more: str) -> None:
+        self.indents.append(self.indents[-1] + more if len(self.indents) <= LIST_DEPTH else self.indents[-1])
+
+    def item(self, marker: str) -> None:
+        if self.marker:  # the item around has no text before this one: its marker stands on a line of its own
+            self.put("")
+        self.marker = self.indents[-1] + marker
+        self.indent(" " * len(marker))
+
     def done(self) -> list[str]:
         self.end_line()
         while self.lines and not self.lines[-1]:
@@ -123,231 +107,232 @@ class _Lines:
         return self.lines
 
 
-@dataclass
+def _number(text: str, least: int, most: int, otherwise: int) -> int:
+    """The number at the beginning of an attribute, within bounds."""
+    m = re.match(r"[ \t\n\f\r]*+([+-]?[0-9]{1,9})(?![0-9])", text)
+    return max(least, min(most, int(m[1]))) if m else otherwise
+
+
 class _Table:
-    rows: list[list[tuple[list[str], int]]] = field(default_factory=list)
-    caption: list[str] = field(default_factory=list)
+    """Rows of cells on a grid. A cell takes the first place in its row that no cell from a row above reaches into."""
+
+    def __init__(self):
+        self.rows: list[list[tuple[int, int, list[str]]]] = []  # cells as begin, end, lines
+        self.caption: list[str] = []
+        self.begin_rows()
+
+    def begin_rows(self) -> None:
+        """A row group: no cell reaches beyond its own."""
+        self.reaching: list[tuple[int, int, int]] = []  # begin, end and first row below of cells that reach below their row
+        self.taken: list[tuple[int, int, int]] = []  # of the open row
+        self.earliest = 0
+
+    def begin_row(self) -> None:
+        row = len(self.rows)
+        if self.taken or (self.reaching and self.earliest <= row):
+            self.reaching = sorted(x for x in self.reaching + self.taken if x[2] > row)
+            self.earliest = min((x[2] for x in self.reaching), default=0)
+        self.taken, self.next, self.blocked = [], 0, 0
+        self.rows.append([])
+
+    def cell(self, lines: list[str], columns: int, rows: int) -> None:
+        while self.blocked < len(self.reaching) and self.reaching[self.blocked][0] <= self.next:
+            self.next = max(self.next, self.reaching[self.blocked][1])
+            self.blocked += 1
+        begin, end = self.next, self.next + columns
+        self.rows[-1].append((begin, end, lines))
+        if rows > 1 and begin < HELD_COLUMNS:
+            self.taken.append((begin, end, len(self.rows) - 1 + rows))
+        self.next = end
 
     def laid_out(self) -> list[str]:
         """The rows' lines, cells padded to their column; a cell of several columns counts for no column's width."""
-        widths: dict[int, int] = {}
+        columns = sorted({begin for row in self.rows for begin, _, _ in row})
+        widths = [0] * len(columns)
         for row in self.rows:
-            at = 0
-            for lines, span in row:
-                if span == 1:
-                    widths[at] = max(widths.get(at, 0), *(len(x) for x in lines), 0) if lines else widths.get(at, 0)
-                at += span
+            for begin, end, lines in row:
+                k = bisect_left(columns, begin)
+                if lines and (k + 1 == len(columns) or columns[k + 1] >= end):
+                    widths[k] = max(widths[k], *map(len, lines), 0)
+        offsets, at = [], 0
+        for width in widths:
+            offsets.append(at)
+            at += width + 2
+        aligned = at <= TABLE_WIDTH
         out = list(self.caption)
         for row in self.rows:
-            for k in range(max((len(lines) for lines, _ in row), default=0)):
-                line, at = "", 0
-                for lines, span in row:
-                    width = sum(widths.get(c, 0) for c in range(at, at + span)) + 2 * (span - 1)
-                    line += (lines[k] if k < len(lines) else "").ljust(width) + "  "
-                    at += span
-                out.append(line.rstrip(" "))
+            placed: list[list[tuple[int, str]]] = [[] for _ in range(max((len(lines) for _, _, lines in row), default=0))]
+            for begin, _, lines in row:
+                for k, line in enumerate(lines):
+                    if line:
+                        placed[k].append((offsets[bisect_left(columns, begin)] if aligned else 0, line))
+            for parts in placed:
+                pieces, length = [], 0
+                for offset, line in parts:
+                    gap = max(offset - length, 2 if length else 0)
+                    pieces.append(" " * gap + line)
+                    length += gap + len(line)
+                out.append("".join(pieces).rstrip(" "))
         return out
 
 
-@dataclass
-class _Element:
-    tag: str
-    seen: bool
-    verbatim: bool
-    flow: _Lines
-    table: _Table | None = None
-    count: int = 0  # of a numbered list's items
-    indent: bool = False
-    span: int = 1
-
-
-class Renderer:
-    """Renders one page. Elements nest to any depth without recursion."""
+class _Layout:
+    """Lays out a tree without recursion: enter() on the way down, leave() on the way up."""
 
     def __init__(self):
-        self.page = _Lines()
-        self.stack = [_Element("#page", True, False, self.page)]
-        self.open: dict[str, int] = {}  # how many elements of a tag are open
-
-    def render(self, html: str) -> str:
-        at = 0
-        html = html.replace("\x00", "")
-        while (tag := _TAG.search(html, at)) is not None:
-            if tag.start() > at:
-                self._text(html[at : tag.start()])
-            at = tag.end()
-            if tag[2]:
-                name = tag[2].lower()
-                if tag[1]:
-                    self._end(name)
+        self.flows = [_Flow()]
+        self.tables: list[_Table] = []
+        self.depth = 0  # of open tables, those that are not aligned included
+        self.counts: dict[int, int] = {}  # of numbered lists, by id of the node
+
+    def render(self, root: Node) -> str:
+        stack = [(root, iter(root.children if root.shown else ()))]
+        while stack:
+            node, children = stack[-1]
+            for child in children:
+                if type(child) is tuple:
+                    text, verbatim = child
+                    (self.flows[-1].verbatim if verbatim else self.flows[-1].text)(text)
                 else:
-                    self._start(name, tag[3])
-                    if name in RAW:
-                        close = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(html, at)
-                        content = html[at : close.start() if close else len(html)]
-                        if name in ("textarea", "xmp"):
-                            self._text(content, plain=name == "xmp")
-                        self._end(name)
-                        at = close.end() if close else len(html)
-                    elif name == "plaintext":
-                        self.stack[-1].verbatim = True
-                        self._text(html[at:], plain=True)
-                        at = len(html)
-        if at < len(html):
-            self._text(html[at:])
-        while len(self.stack) > 1:
-            self._pop()
-        return "\n".join(self.page.done())
-
-    def _text(self, text: str, plain: bool = False) -> None:
-        top = self.stack[-1]
-        if top.tag == "head" and text.strip(" \t\n\r\f"):
-            self._end("head")  # text begins the body
-            top = self.stack[-1]
-        if not top.seen:
-            return
-        if top.tag in ("table", "tr", "thead", "tbody", "tfoot"):
-            if not text.strip(" \t\n\r\f"):
+                    stack.append((child, iter(self.enter(child))))
+                    break
+            else:
+                stack.pop()
+                if stack:
+                    self.leave(node)
+        return "\n".join(self.flows[0].done())
+
+    def _aligned(self) -> bool:
+        return 0 < self.depth <= TABLE_DEPTH
+
+    def enter(self, node: Node) -> list:
+        tag, flow = node.tag, self.flows[-1]
+        if node.foreign:
+            if node.block:
+                flow.end_line()
+        elif tag == "br":
+            flow.line_break()
+        elif tag == "table":
+            flow.end_line(margin=True)
+            self.depth += 1
+            if self._aligned():
+                self.tables.append(_Table())
+        elif tag in ("tbody", "thead", "tfoot"):
+            if self._aligned():
+                self.tables[-1].begin_rows()
+        elif tag == "tr":
+            if self._aligned():
+                self.tables[-1].begin_row()
+        elif tag in CELLS or tag == "caption":
+            if self._aligned():
+                self.flows.append(_Flow())
+            else:
+                flow.end_line()
+        elif tag in ("button", "textarea"):
+            flow.space = True
+        elif tag == "select":
+            flow.space = True
+            for option in _options(node):
+                flow.text(option)
+                if "multiple" in node.attributes:
+                    flow.end_line()
+            flow.space = True
+            return []
+        elif node.block:
+            flow.end_line(margin=self._margin(node))
+            if tag == "ol":
+                self.counts[id(node)] = _number(node.attributes.get("start", ""), -(10**9), 10**9, 1)
+            elif tag == "li":
+                flow.item(self._marker(node))
+            elif tag in ("blockquote", "dd"):
+                flow.indent("  ")
+            elif tag == "details" and "open" not in node.attributes:
+                return [c for c in node.children if type(c) is Node and c.tag == "summary"][:1]
+        return node.children
+
+    def leave(self, node: Node) -> None:
+        tag = node.tag
+        if node.foreign:
+            if node.block:
+                self.flows[-1].end_line()
+        elif tag == "table":
+            if self._aligned():
+                table = self.tables.pop()
+                for line in table.laid_out():
+                    self.flows[-1].put(line)
+            self.depth -= 1
+            self.flows[-1].end_line(margin=True)
+        elif tag in ("button", "textarea"):
+            self.flows[-1].space = True
+        elif tag in CELLS or tag == "caption":
+            if not self._aligned():
+                self.flows[-1].end_line()
                 return
-            self._start("td", "")  # text straight in a table is a cell of its own
-            top = self.stack[-1]
-        if not plain and "&" in text:
-            text = unescape(text)
-        if text:
-            (top.flow.verbatim if top.verbatim else top.flow.text)(text)
-
-    def _start(self, name: str, attributes: str) -> None:
-        if self.open.get("head") and name not in _HEAD_ONLY:
-            self._end("head")
-        if name in ("html", "body") and self.open.get(name):
-            return
-        if name in _ENDS:
-            self._close_within(*_ENDS[name])
-        if name in _ENDS_PARAGRAPH and self.open.get("p"):
-            self._close_within(frozenset(("p",)), _NO_END_BEYOND)
-        if name in CELLS and self.open.get("table") and self._nearest("tr", "table") == "table":
-            self._push("tr", True, {})
-        found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)} if attributes.strip(" /\n\t\r\f") else {}
-        seen = name not in UNSEEN and "hidden" not in found and not _HIDING.search(found.get("style", "")) and not (name == "input" or name == "dialog" and "open" not in found)
-        if name in VOID:
-            flow = self.stack[-1].flow
-            if self.stack[-1].seen and seen:
-                if name == "br":
-                    flow.line_break()
-                elif name == "hr":
-                    flow.end_line(margin=True)
-            return
-        self._push(name, seen, found)
-
-    def _nearest(self, *tags: str) -> str | None:
-        return next((e.tag for e in reversed(self.stack) if e.tag in tags), None)
-
-    def _push(self, name: str, seen: bool, attributes: dict[str, str]) -> None:
-        above = self.stack[-1]
-        e = _Element(name, above.seen and seen, above.verbatim or name in ("pre", "xmp", "listing", "textarea", "plaintext"), above.flow)
-        self.open[name] = self.open.get(name, 0) + 1
-        self.stack.append(e)
-        if not e.seen:
-            return
-        if name == "table":
-            e.flow.end_line(margin=True)
-            e.table = _Table()
-        elif name == "tr":
-            if table := self._table():
-                table.rows.append([])
-        elif (name in CELLS or name == "caption") and self._table():
-            e.flow, e.verbatim = _Lines(), False
-            span = attributes.get("colspan", "")
-            e.span = max(1, min(1000, int(span))) if span.isascii() and span.isdigit() and len(span) < 5 else 1
-        elif name in BLOCKS:
-            e.flow.end_line(margin=name in SPACED and not (name in LISTS and self._nearest("li", "table") == "li"))
-            if name in LISTS and self._nearest("li", "table") == "li":
-                e.flow.end_line()
-            if name == "ol":
-                start = attributes.get("start", "")
-                e.count = int(start) - 1 if re.fullmatch(r"-?\d{1,9}", start, re.A) else 0
-            if name == "li":
-                self._item(e)
-            elif name in ("blockquote", "dd"):
-                e.flow.indents.append("  ")
-                e.indent = True
-
-    def _item(self, e: _Element) -> None:
-        of = next((x for x in reversed(self.stack[:-1]) if x.tag in LISTS or x.tag in CELLS), None)
-        if of is not None and of.tag == "ol":
-            of.count += 1
-            marker = f"{of.count}. "
+            lines, table = self.flows.pop().done(), self.tables[-1]
+            if tag == "caption":
+                table.caption += lines
+            else:
+                table.cell(lines, _number(node.attributes.get("colspan", ""), 1, MOST_COLUMNS, 1), _number(node.attributes.get("rowspan", ""), 0, MOST_ROWS, 1) or MOST_ROWS)
+        elif node.block:
+            flow = self.flows[-1]
+            flow.end_line(margin=self._margin(node))
+            if tag in ("li", "blockquote", "dd"):
+                flow.indents.pop()
+                if tag == "li":
+                    flow.marker = ""
+
+    def _margin(self, node: Node) -> bool:
+        return node.tag in SPACED and not (node.tag in LISTS and node.in_item)
+
+    def _marker(self, node: Node) -> str:
+        of = node.within
+        if of is None or of.tag != "ol":
+            return "- "
+        number = _number(node.attributes.get("value", ""), -(10**9), 10**9, self.counts.get(id(of), 1))
+        self.counts[id(of)] = number + (-1 if "reversed" in of.attributes else 1)
+        return f"{number}. "
+
+
+def _options(select: Node) -> list[str]:
+    """What a select shows: all options of a list, else the one that is selected, which is the first if none is marked."""
+    found: list[tuple[bool, bool, str]] = []
+    todo = [(c, False) for c in reversed(select.children)]
+    while todo:
+        node, disabled = todo.pop()
+        if type(node) is not Node or not node.shown:
+            continue
+        disabled = disabled or "disabled" in node.attributes
+        if node.tag == "option":
+            found.append(("selected" in node.attributes, disabled, node.attributes.get("label") or " ".join(_words(node))))
         else:
-            marker = "- "
-        if e.flow.marker:  # the item around has no text before this one: its marker stands on a line of its own
-            e.flow._put("")
-        e.flow.indents.append(" " * len(marker))
-        e.flow.marker, e.indent = marker, True
-
-    def _table(self) -> _Table | None:
-        return next((e.table for e in reversed(self.stack) if e.tag == "table"), None)
-
-    def _pop(self) -> None:
-        e = self.stack.pop()
-        self.open[e.tag] -= 1
-        if not e.seen:
-            return
-        if e.table is not None:
-            for line in e.table.laid_out():
-                e.flow._put(line)
-            e.flow.end_line(margin=True)
-        elif e.flow is not self.stack[-1].flow:
-            lines = e.flow.done()
-            if table := self._table():
-                if e.tag == "caption":
-                    table.caption += lines
-                else:
-                    if not table.rows:
-                        table.rows.append([])
-                    table.rows[-1].append((lines, e.span))
-        elif e.tag in BLOCKS and e.tag not in ("tr", "thead", "tbody", "tfoot"):
-            e.flow.end_line(margin=e.tag in SPACED and not (e.tag in LISTS and self._nearest("li", "table") == "li"))
-        if e.indent:
-            e.flow.indents.pop()
-            if e.tag == "li":
-                e.flow.marker = ""
-
-    def _close_within(self, tags: frozenset[str], edge: frozenset[str]) -> None:
-        """Ends the innermost open element with one of the tags, unless an edge comes first."""
-        if not any(self.open.get(t) for t in tags):
-            return
-        for k in range(len(self.stack) - 1, 0, -1):
-            tag = self.stack[k].tag
-            if tag in tags:
-                while len(self.stack) > k:
-                    self._pop()
-                return
-            if tag in edge:
-                return
-
-    def _end(self, name: str) -> None:
-        if name == "br":
-            self._start("br", "")
-        elif name in ("html", "body"):
-            return  # what follows still belongs to the body
-        elif not self.open.get(name):
-            if name == "p":
-                self.stack[-1].flow.end_line(margin=True)
+            todo += [(c, disabled) for c in reversed(node.children)]
+    if "multiple" in select.attributes:
+        return [text for _, _, text in found if text]
+    chosen = [text for selected, _, text in found if selected][-1:] or [text for _, disabled, text in found if not disabled][:1]
+    return [text for text in chosen if text]
+
+
+def _words(node: Node) -> Iterator[str]:
+    todo = list(reversed(node.children))
+    while todo:
+        child = todo.pop()
+        if type(child) is tuple:
+            yield from child[0].split()
         else:
-            edge = frozenset() if name in _TABLE_EDGE or name in ("tr", "thead", "tbody", "tfoot") else _TABLE_EDGE
-            self._close_within(frozenset((name,)), edge)
+            todo += reversed(child.children)
 
 
 def text_of(html: str | None) -> str:
-    """The visible text of a page, laid out in lines."""
-    return Renderer().render(html) if html else ""
+    """The visible text of a page, laid out in lines. Text in attributes (alt, value, placeholder) is none of it."""
+    return _Layout().render(tree(html)) if html else ""
 
 
 def extract(pages: DataFrame, *, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """One row per page: page_id, n_chars (code points of the text), n_lines, text.
 
     Defined results: a null or empty page has the empty text and no lines; null ids and repeated rows stay; pages are
-    rendered whole, however long; an empty table gives no rows; other columns are not read.
+    rendered whole, however long and however malformed; an empty table gives no rows; other columns, whatever their
+    names, are not read.
     """
     schema = pa.schema([("page_id", pa.int64()), ("n_chars", pa.int64()), ("n_lines", pa.int64()), ("text", pa.string())])
 

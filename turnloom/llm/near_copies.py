@@ -1,12 +1,18 @@
-"""Near copies by exact Jaccard similarity of five-word shingles.
+"""Near copies: SimHash candidates and, beyond its radius, shared rare shingles, all verified by exact Jaccard similarity.
 
-Every pair of texts whose shingle sets have a similarity of at least 4/5 is found, none is left to chance: two such sets
-share a shingle among the first n - ceil(4n/5) + 1 of each, in any order that all texts agree on. Shingles that many of
-a sample of texts have come last in that order, so that boilerplate brings few texts together. Texts that can still
-reach the similarity, by their sizes and by how many shingles their prefixes share, are verified on their whole sets.
+Two texts are linked if the sets of their five-word shingles have a similarity of at least 4/5. Groups are the connected
+components. Texts with equal sets are one node.
 
-Sets are of 64-bit shingle hashes. Texts with equal sets are one node. Groups are the connected
-components of the verified pairs. A cluster of very many texts that differ, each similar to each, costs a row for each of its pairs.
+SimHash (simhash.links, fingerprints of the shingle sets) brings the closest nodes together. At a similarity of 0.8 two
+fingerprints of 64 bits differ in some ten bits, which no deletion variants reach, so candidates beyond its radius come
+from prefixes: two sets of that similarity share a shingle among the first n - ceil(4n/5) + 1 of each, in any order that
+all texts agree on. Shingles that many of a sample of texts have come last in that order.
+
+No group is expanded into all its pairs. Nodes that share a prefix shingle are first compared with one of them, whose
+prefix has the shingle earliest: the most central one. What that links is one component. Only nodes outside of the
+component of their shingle's centre are then compared with the others there, and only where the places of the shingle
+leave enough of both sets to reach the similarity. A pair that is similar meets that condition at the first shingle it
+shares, so no link between components is lost.
 """
 
 from __future__ import annotations
@@ -19,17 +25,21 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnloom.llm.shared import LOWER_ASCII, slices, stored
-from turnloom.llm.simhash import components, first_of_each, text_hash
+from turnloom.llm.simhash import components, first_of_each, links, majority, text_hash
 from turnloom.session import map_arrow
 
 SHINGLE = 5
 #: Texts in the sample, and in how many of them a shingle must be to come last; both only bear on cost.
 SAMPLE, COMMON = 1 << 15, 8
+#: Nodes that share a shingle are dealt to one task more for each so many texts of the sample that have it.
+DEALT = 64
+#: Pairs of one node from which on copies of its set go to several tasks.
+PAIRS_OF_NODE = 256
 #: Bits that mark the texts to verify; others that share a bit are hashed once more for nothing.
 MARKED = 1 << 26
 #: Odd multipliers, one for each place of a word in a shingle.
 _PLACES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
-_MOST_WORDS = 1 << 18
+_MOST_WORDS, _MOST_NODES = 1 << 18, 1 << 18
 
 
 def _hashed(text: str, known: dict[bytes, int]) -> np.ndarray:
@@ -90,84 +100,160 @@ def _bits(keys: DataFrame) -> np.ndarray:
     return bits
 
 
-def _common(rows: DataFrame) -> np.ndarray:
-    """The shingles of which a sample of texts has many, sorted by in how many, then by hash."""
+def _common(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles of which a sample of texts has many, sorted by in how many, then by hash; and in how many."""
     share = SAMPLE / max(rows.count(), 1)
     sample = rows.where(F.pmod("key", F.lit(1 << 20)) < int(share * (1 << 20))) if share < 1 else rows
     counts = sets(sample.dropDuplicates(["key"])).select(F.explode("shingles").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("n"))
-    found = [(r["n"], r["h"]) for r in counts.where(F.col("n") >= COMMON).collect()]
-    return np.array([h for _, h in sorted(found)], dtype=np.int64)
-
+    found = sorted((r["n"], r["h"]) for r in counts.where(F.col("n") >= COMMON).collect())
+    return np.array([h for _, h in found], dtype=np.int64), np.array([n for n, _ in found], dtype=np.int64)
 
-def features(docs: DataFrame, common: np.ndarray | None = None, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, text_hash (null for a null text), node (of the shingle set), n (its size), prefix for each row.
 
-    The prefix is null without common shingles (an array, may be empty).
-    """
+def features(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, text_hash (null for a null text), node (of the shingle set), fp (its SimHash) for each row."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_hash(text_col).alias("text_hash"), F.col(text_col).alias("text"))
-    shared = docs.sparkSession.sparkContext.broadcast(None if common is None else (np.sort(common), np.argsort(common, kind="stable")))
-    schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("prefix", pa.list_(pa.int64()))])
+    schema = pa.schema([(name, pa.int64()) for name in ("doc_id", "text_hash", "node", "fp")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
-        order, known = shared.value, {}
+        known: dict[bytes, int] = {}
         for batch in (part for whole in batches for part in slices(whole, 2)):
-            nodes, n, prefixes = [], [], []
-            for t in batch.column(2):
-                own = _hashed(t.as_py() or "", known)
-                nodes.append(xxhash.xxh64_intdigest(own.tobytes(), 7) - (1 << 63))
-                n.append(len(own))
-                if order is not None and len(order[0]):
-                    at = np.minimum(np.searchsorted(order[0], own), len(order[0]) - 1)
-                    last = order[0][at] == own
-                    own = np.concatenate([own[~last], own[last][np.argsort(order[1][at[last]])]])
-                prefixes.append(own[: len(own) - (4 * len(own) + 4) // 5 + 1])
-            prefix = pa.nulls(len(n), schema.field(4).type) if order is None else _arrays(prefixes)
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(nodes, pa.int64()), pa.array(n, pa.int32()), prefix], schema=schema)
-
-    return map_arrow(rows, run, "doc_id long, text_hash long, node long, n int, prefix array<long>")
-
-
-def candidates(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
-    """a, b (a > b): all nodes that may be similar.
-
-    A pair has in common at most what its prefixes share and the longer of what is left of the two.
+            own = [_hashed(t.as_py() or "", known) for t in batch.column(2)]
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(map(_node, own), pa.int64()), pa.array(map(majority, own), pa.int64())], schema=schema)
+
+    return map_arrow(rows, run, "doc_id long, text_hash long, node long, fp long")
+
+
+def _node(shingles: np.ndarray) -> int:
+    import xxhash
+
+    return xxhash.xxh64_intdigest(shingles.tobytes(), 7) - (1 << 63)
+
+
+def prefixes(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
+    """h, node, n (the size of the set), at (the place of h in it), salt, salts: a row for each shingle of each node's prefix."""
+    common, counts = _common(docs.where(F.col(text_col).isNotNull()).select(text_hash(text_col).alias("key"), F.col(text_col).alias("text")))
+    ordered = np.argsort(common, kind="stable")
+    shared = docs.sparkSession.sparkContext.broadcast((common[ordered], ordered, 1 + counts[ordered] // DEALT))
+    schema = pa.schema([("h", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("at", pa.int32()), ("salt", pa.int32()), ("salts", pa.int32())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (frequent, rank, parts), known, seen = shared.value, {}, set()
+        for batch in (part for whole in batches for part in slices(whole, 0)):
+            found: list[tuple[np.ndarray, ...]] = []
+            for text in batch.column(0):
+                own = _hashed(text.as_py() or "", known)
+                if not len(own) or (node := _node(own)) in seen:  # copies within a task make no more rows
+                    continue
+                if len(seen) >= _MOST_NODES:
+                    seen.clear()
+                seen.add(node)
+                size = len(own)
+                salts = np.ones(size, dtype=np.int64)
+                if len(frequent):
+                    place = np.minimum(np.searchsorted(frequent, own), len(frequent) - 1)
+                    last = frequent[place] == own
+                    order = rank[place[last]].argsort()
+                    salts = np.concatenate([salts[~last], parts[place[last]][order]])
+                    own = np.concatenate([own[~last], own[last][order]])
+                many = size - (4 * size + 4) // 5 + 1
+                found.append((own[:many], np.full(many, node), np.full(many, size), np.arange(many), node % salts[:many], salts[:many]))
+            columns = [np.concatenate(c) for c in zip(*found, strict=True)] if found else [np.zeros(0)] * 6
+            yield pa.record_batch([pa.array(c.astype(f.type.to_pandas_dtype()), f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+    return map_arrow(docs.select(F.col(text_col).alias("text")), run, "h long, node long, n int, at int, salt int, salts int")
+
+
+def members(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
+    """The rows of prefixes() whose shingle more than one node of their part has, or which is dealt to several parts; once per node."""
+    places = prefixes(docs, text_col=text_col).repartition("h", "salt").dropDuplicates(["h", "salt", "node"])
+    many = F.count(F.lit(1)).over(Window.partitionBy("h", "salt"))
+    return places.withColumn("many", many).where("many > 1 OR salts > 1").drop("many")
+
+
+def _centres(shared: DataFrame) -> DataFrame:
+    """of_h, of_salt, centre, centre_n: for each shingle of several nodes, the one that has it earliest, for each part."""
+    centre = F.min(F.struct("at", "node", "n")).alias("centre")
+    found = shared.groupBy("h").agg(F.count(F.lit(1)).alias("many"), F.max("salts").alias("salts"), centre).where("many > 1")
+    return found.select(F.col("h").alias("of_h"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("of_salt"), F.col("centre.node").alias("centre"), F.col("centre.n").alias("centre_n"))
+
+
+_OF_PART = "h = of_h AND salt = of_salt"
+
+
+def central_pairs(shared: DataFrame) -> DataFrame:
+    """a, b: each node with the centres of its prefix shingles, where their sizes allow the similarity."""
+    met = shared.join(_centres(shared).hint("merge"), F.expr(_OF_PART)).where("node <> centre AND 5 * least(n, centre_n) >= 4 * greatest(n, centre_n)")
+    return met.select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
+
+
+def other_pairs(shared: DataFrame, rooted: DataFrame) -> DataFrame:
+    """a, b (a > b): pairs that share a prefix shingle and are in different components (node, root), as far as they may be similar.
+
+    One of them is outside of the component of the shingle's centre. A pair whose first shared shingle stands at some
+    place in each set has at most what is left from there in common.
     """
-    common = _common(docs.where(F.col(text_col).isNotNull()).select(text_hash(text_col).alias("key"), F.col(text_col).alias("text")))
-    places = features(docs.select(F.lit(None).cast("long").alias("doc_id"), text_col), common, text_col=text_col).select("node", "n", F.explode("prefix").alias("h"))
-    # equal sets meet here: their prefixes would be moved once more to bring them together before
-    places = places.repartition("h").dropDuplicates(["h", "node"])
-    members = stored(places.withColumn("many", F.count(F.lit(1)).over(Window.partitionBy("h"))).where("many > 1").drop("many"), "shared-shingles")
-    a, b = (members.select(*[F.col(c).alias(f"{c}_{side}") for c in members.columns]) for side in "ab")
-    sizes = F.expr("5 * least(n_a, n_b) >= 4 * greatest(n_a, n_b)")
-    met = a.join(b, (F.col("h_a") == F.col("h_b")) & (F.col("node_a") > F.col("node_b")) & sizes).groupBy("node_a", "node_b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("shared"))
-    left = "(4 * greatest(n_a, n_b) + 4) div 5 - 1"
-    return met.where(f"9 * (shared + {left}) >= 4 * (n_a + n_b)").select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+    of = rooted.select(F.col("node").alias("of_node"), F.col("root").alias("of_root"))
+    placed = stored(shared.join(of, F.col("node") == F.col("of_node"), "left").withColumn("part_of", F.coalesce("of_root", "node")).drop("of_node", "of_root"), "placed")
+    centres = _centres(placed).join(of, F.col("centre") == F.col("of_node"), "left").select("of_h", "of_salt", F.coalesce("of_root", "centre").alias("main"))
+    odd = placed.join(centres.hint("merge"), F.expr(_OF_PART)).where("part_of <> main").withColumn("of_salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+    odd = stored(odd.select("of_h", "of_salt", F.col("node").alias("x"), F.col("n").alias("x_n"), F.col("at").alias("x_at"), F.col("part_of").alias("x_part")), "odd")
+    enough = "part_of <> x_part AND 9 * (n - at) >= 4 * (n + x_n) AND 9 * (x_n - x_at) >= 4 * (n + x_n)"
+    met = placed.join(odd.hint("merge"), F.expr(f"{_OF_PART} AND {enough}"))
+    return met.select(F.greatest("node", "x").alias("a"), F.least("node", "x").alias("b")).distinct()
+
+
+def simhash_pairs(nodes: DataFrame) -> DataFrame:
+    """a, b: nodes (node, fp) with equal fingerprints or such as SimHash links, by one node of each fingerprint."""
+    first = nodes.groupBy("fp").agg(F.min("node").alias("first"))
+    equal = nodes.join(first, "fp").where("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b"))
+    of = lambda side: first.select(F.col("fp").alias(f"{side}_fp"), F.col("first").alias(side))
+    near = links(first.select("fp")).select(F.col("a").alias("a_fp"), F.col("b").alias("b_fp"))
+    return equal.unionByName(near.join(of("a"), "a_fp").join(of("b"), "b_fp").select("a", "b"))
+
+
+def _with_set(pairs: DataFrame, whole: DataFrame, side: str) -> DataFrame:
+    """pairs with the set of one side; the pairs of a node that has very many are dealt to several tasks."""
+    counts = pairs.groupBy(F.col(side).alias("node")).agg((1 + F.floor(F.count(F.lit(1)) / PAIRS_OF_NODE)).cast("int").alias("parts"))
+    parts = counts.where("parts > 1")
+    dealt = whole.join(parts, "node", "left").select(F.col("node").alias(side), F.col("shingles").alias(f"of_{side}"), F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part"))
+    rows = pairs.join(parts.withColumnRenamed("node", side), side, "left")
+    return rows.withColumn("part", F.coalesce(F.pmod(F.xxhash64("a", "b"), F.col("parts")), F.lit(0)).cast("int")).drop("parts").join(dealt, [side, "part"]).drop("part")
 
 
 def similar(pairs: DataFrame, found: DataFrame, docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The pairs (a, b) of nodes whose whole sets have a similarity of at least 4/5."""
+    """The pairs (a, b) of nodes whose whole sets have a similarity of at least 4/5; found: as of features()."""
     nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    one = stored(found.join(nodes, "node", "left_semi").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "text_hash")).alias("first")).select("node", "first.doc_id", F.col("first.text_hash").alias("of_text")), "to-verify")
+    one = found.join(nodes, "node", "left_semi").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "text_hash")).alias("first"))
     key = lambda i, text: F.xxhash64(i, text)
+    one = stored(one.select("node", key("first.doc_id", "first.text_hash").alias("of_key")), "to-verify")
     texts = docs.select(key(F.col(id_col).cast("long"), text_hash(text_col)).alias("key"), F.col(text_col).alias("text"))
-    one = one.select("node", key("doc_id", "of_text").alias("of_key"))
     needed = sets(texts, _bits(one.select(F.col("of_key").alias("key"))))
     whole = stored(needed.join(one, F.col("key") == F.col("of_key")).dropDuplicates(["key"]).select("node", "shingles"), "shingle-sets")
-    of = lambda side: whole.select(F.col("node").alias(side), F.col("shingles").alias(f"of_{side}"))
     both = F.size(F.array_intersect("of_a", "of_b"))
-    return pairs.join(of("a"), "a").join(of("b"), "b").where(9 * both >= 4 * (F.size("of_a") + F.size("of_b"))).select("a", "b")
+    return _with_set(_with_set(pairs, whole, "a"), whole, "b").where(9 * both >= 4 * (F.size("of_a") + F.size("of_b"))).select("a", "b")
+
+
+def groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, text_hash, root: the group of each row."""
+    options = {"id_col": id_col, "text_col": text_col}
+    found = stored(features(docs, **options), "features")
+    shared = stored(members(docs, text_col=text_col), "shared-shingles")
+    nodes = stored(found.groupBy("node").agg(F.min("fp").alias("fp")), "nodes")
+    first = stored(simhash_pairs(nodes).unionByName(central_pairs(shared)).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "first-pairs")
+    linked = stored(similar(first, found, docs, **options), "first-links")
+    rooted = components(linked)
+    others = stored(other_pairs(shared, rooted).join(first, ["a", "b"], "left_anti"), "other-pairs")
+    if others.head(1):  # components of the links found so far and of those that are new
+        stars = rooted.select(F.col("node").alias("a"), F.col("root").alias("b"))
+        rooted = components(stars.unionByName(similar(others, found, docs, **options)))
+    return found.join(rooted.select(F.col("node").alias("of_node"), F.col("root").alias("of_root")), F.col("node") == F.col("of_node"), "left").select("doc_id", "text_hash", F.coalesce("of_root", "node").alias("root"))
 
 
 def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents with one of each group of near copies left, all columns as they were.
 
-    The one that stays is chosen as simhash.one_of_each does. Null and empty texts and texts without words have the empty
-    set and are one group; a text with fewer than five words is similar to those with the same words only.
+    The one that stays is chosen as simhash.first_of_each does. Null and empty texts and texts without words have the
+    empty set and are one group; a text with fewer than five words is similar to those with the same words only. Rows
+    that repeat id and text count once; an empty table gives no rows.
     """
-    found = stored(features(docs, id_col=id_col, text_col=text_col).drop("prefix"), "features")
-    pairs = stored(candidates(docs, text_col=text_col), "candidates")
-    rooted = components(similar(pairs, found, docs, id_col=id_col, text_col=text_col))
-    grouped = found.select("doc_id", "text_hash", "node").join(rooted.select(F.col("node").alias("of_node"), F.col("root").alias("of_root")), F.col("node") == F.col("of_node"), "left")
-    return first_of_each(docs, grouped.select("doc_id", "text_hash", F.coalesce("of_root", "node").alias("root")), id_col=id_col, text_col=text_col)
+    return first_of_each(docs, groups(docs, id_col=id_col, text_col=text_col), id_col=id_col, text_col=text_col)

@@ -41,13 +41,17 @@ def fingerprint(text: str, shingle: int = 3, seed: int = 42) -> int:
     tokens = text.encode().translate(LOWER_ASCII).split()
     if not tokens:
         return 0
-    count = max(1, len(tokens) - shingle + 1)
+    count, digest = max(1, len(tokens) - shingle + 1), xxhash.xxh64_intdigest
+    return majority(np.array([digest(b" ".join(tokens[i : i + shingle]), seed) for i in range(count)], dtype=np.uint64))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that over half of the hashes have, as a signed integer; 0 without hashes."""
     ones = np.zeros(BITS, dtype=np.int64)
-    digest = xxhash.xxh64_intdigest
-    for k in range(0, count, 50_000):
-        hashes = np.array([digest(b" ".join(tokens[i : i + shingle]), seed) for i in range(k, min(count, k + 50_000))], dtype="<u8")
-        ones += np.unpackbits(hashes.view(np.uint8), bitorder="little").reshape(-1, BITS).sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > count, bitorder="little").view("<i8")[0])
+    for k in range(0, len(hashes), 50_000):
+        part = hashes[k : k + 50_000].astype(hashes.dtype.newbyteorder("<"), copy=False)
+        ones += np.unpackbits(part.view(np.uint8), bitorder="little").reshape(-1, BITS).sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<i8")[0])
 
 
 def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, seed: int = 42) -> DataFrame:
@@ -170,13 +174,18 @@ def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 
 
 def first_of_each(docs: DataFrame, grouped: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The first document of each group, as one_of_each chooses it; grouped: doc_id, text_hash, root for each row of docs."""
+    """The first document of each group, as one_of_each chooses it; grouped: doc_id, text_hash, root for each row of docs.
+
+    Rows are chosen by two keys, of id and text and of the text; the texts move once, to the keys that stay.
+    """
     first = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "text_hash")).alias("first")
-    kept = grouped.groupBy("root").agg(first)
-    mark = "_hash_of_text"
-    while mark.lower() in {c.lower() for c in docs.columns}:
-        mark += "_"
-    marked = docs.withColumn(mark, text_hash(text_col))
-    names = kept.select(F.col("first.doc_id").alias("_kept_id"), F.col("first.text_hash").alias("_kept_hash"))
-    same = marked[id_col].cast("long").eqNullSafe(names["_kept_id"]) & marked[mark].eqNullSafe(names["_kept_hash"])
-    return marked.join(names, same, "left_semi").dropDuplicates([id_col, mark]).drop(mark)
+    keys = ["_key_of_row", "_key_of_text"]
+    while {k.lower() for k in keys} & {c.lower() for c in docs.columns}:
+        keys = [k + "_" for k in keys]
+
+    def keyed(doc_id: Column, of_text: Column) -> list[Column]:
+        return [F.xxhash64(F.lit(1), doc_id.isNull(), doc_id, of_text.isNull(), of_text).alias(keys[0]), F.coalesce(of_text, F.lit(0)).alias(keys[1])]
+
+    kept = stored(grouped.groupBy("root").agg(first).select(*keyed(F.col("first.doc_id"), F.col("first.text_hash"))), "kept")
+    marked = docs.select("*", *keyed(F.col(id_col).cast("long"), text_hash(text_col)))
+    return marked.join(kept.hint("merge"), keys, "left_semi").dropDuplicates(keys).drop(*keys)

@@ -25,21 +25,23 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnloom.llm.shared import LOWER_ASCII, slices, stored
-from turnloom.llm.simhash import components, first_of_each, links, majority, text_hash
+from turnloom.llm.simhash import components, first_of_each, links, text_hash
 from turnloom.session import map_arrow
 
 SHINGLE = 5
 #: Texts in the sample, and in how many of them a shingle must be to come last; both only bear on cost.
-SAMPLE, COMMON = 1 << 15, 8
+SAMPLE, COMMON = 1 << 13, 4
 #: Nodes that share a shingle are dealt to one task more for each so many texts of the sample that have it.
-DEALT = 64
+DEALT = 32
 #: Pairs of one node from which on copies of its set go to several tasks.
 PAIRS_OF_NODE = 256
 #: Bits that mark the texts to verify; others that share a bit are hashed once more for nothing.
 MARKED = 1 << 26
 #: Odd multipliers, one for each place of a word in a shingle.
 _PLACES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
-_MOST_WORDS, _MOST_NODES = 1 << 18, 1 << 18
+_MOST_WORDS, _MOST_NODES = 1 << 15, 1 << 16
+#: Bytes of text that are hashed at a time.
+_PORTION = 1 << 19
 
 
 def _hashed(text: str, known: dict[bytes, int]) -> np.ndarray:
@@ -83,7 +85,7 @@ def sets(rows: DataFrame, wanted: np.ndarray | None = None) -> DataFrame:
             if bits is not None:
                 at = batch.column(0).to_numpy() & (8 * len(bits) - 1)
                 batch = batch.filter(pa.array((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1))
-            for part in slices(batch, 1):
+            for part in slices(batch, 1, _PORTION):
                 yield pa.record_batch([part.column(0), _arrays([_hashed(t.as_py() or "", known) for t in part.column(1)])], schema=schema)
 
     return map_arrow(rows.select("key", "text"), run, "key long, shingles array<long>")
@@ -109,18 +111,16 @@ def _common(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return np.array([h for _, h in found], dtype=np.int64), np.array([n for n, _ in found], dtype=np.int64)
 
 
-def features(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, text_hash (null for a null text), node (of the shingle set), fp (its SimHash) for each row."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_hash(text_col).alias("text_hash"), F.col(text_col).alias("text"))
-    schema = pa.schema([(name, pa.int64()) for name in ("doc_id", "text_hash", "node", "fp")])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, int] = {}
-        for batch in (part for whole in batches for part in slices(whole, 2)):
-            own = [_hashed(t.as_py() or "", known) for t in batch.column(2)]
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(map(_node, own), pa.int64()), pa.array(map(majority, own), pa.int64())], schema=schema)
-
-    return map_arrow(rows, run, "doc_id long, text_hash long, node long, fp long")
+def _fingerprints(sets_of: list[np.ndarray]) -> np.ndarray:
+    """The SimHash of each set: the bits that over half of its hashes have; 0 for an empty set."""
+    sizes = np.array([len(x) for x in sets_of])
+    found = np.zeros(len(sets_of), dtype=np.int64)
+    filled = np.flatnonzero(sizes)
+    if len(filled):
+        bits = np.unpackbits(np.concatenate(sets_of).astype("<i8", copy=False).view(np.uint8), bitorder="little").reshape(-1, 64)
+        ones = np.add.reduceat(bits, np.concatenate([[0], np.cumsum(sizes[filled])[:-1]]), axis=0, dtype=np.int32)
+        found[filled] = np.packbits(2 * ones > sizes[filled, None], axis=1, bitorder="little").view("<i8").reshape(-1)
+    return found
 
 
 def _node(shingles: np.ndarray) -> int:
@@ -129,60 +129,67 @@ def _node(shingles: np.ndarray) -> int:
     return xxhash.xxh64_intdigest(shingles.tobytes(), 7) - (1 << 63)
 
 
-def prefixes(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
-    """h, node, n (the size of the set), at (the place of h in it), salt, salts: a row for each shingle of each node's prefix."""
+def features(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, text_hash (null for a null text), node (of the shingle set), fp (its SimHash), n (its size), prefix, salts for each row.
+
+    Of copies within a task, only one has a prefix; salts is over how many parts each of its shingles is dealt.
+    """
     common, counts = _common(docs.where(F.col(text_col).isNotNull()).select(text_hash(text_col).alias("key"), F.col(text_col).alias("text")))
     ordered = np.argsort(common, kind="stable")
     shared = docs.sparkSession.sparkContext.broadcast((common[ordered], ordered, 1 + counts[ordered] // DEALT))
-    schema = pa.schema([("h", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("at", pa.int32()), ("salt", pa.int32()), ("salts", pa.int32())])
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_hash(text_col).alias("text_hash"), F.col(text_col).alias("text"))
+    schema = pa.schema([*((name, pa.int64()) for name in ("doc_id", "text_hash", "node", "fp", "n")), ("prefix", pa.list_(pa.int64())), ("salts", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (frequent, rank, parts), known, seen = shared.value, {}, set()
-        for batch in (part for whole in batches for part in slices(whole, 0)):
-            found: list[tuple[np.ndarray, ...]] = []
-            for text in batch.column(0):
-                own = _hashed(text.as_py() or "", known)
-                if not len(own) or (node := _node(own)) in seen:  # copies within a task make no more rows
-                    continue
-                if len(seen) >= _MOST_NODES:
-                    seen.clear()
-                seen.add(node)
-                size = len(own)
-                salts = np.ones(size, dtype=np.int64)
-                if len(frequent):
+        for batch in (part for whole in batches for part in slices(whole, 2, _PORTION)):
+            sets_of = [_hashed(t.as_py() or "", known) for t in batch.column(2)]
+            nodes, prefixes, salts = [_node(own) for own in sets_of], [], []
+            for own, node in zip(sets_of, nodes, strict=True):
+                parted = np.ones(len(own), dtype=np.int64)
+                if node in seen:
+                    own, parted = own[:0], parted[:0]
+                elif len(frequent) and len(own):
                     place = np.minimum(np.searchsorted(frequent, own), len(frequent) - 1)
                     last = frequent[place] == own
                     order = rank[place[last]].argsort()
-                    salts = np.concatenate([salts[~last], parts[place[last]][order]])
+                    parted = np.concatenate([parted[~last], parts[place[last]][order]])
                     own = np.concatenate([own[~last], own[last][order]])
-                many = size - (4 * size + 4) // 5 + 1
-                found.append((own[:many], np.full(many, node), np.full(many, size), np.arange(many), node % salts[:many], salts[:many]))
-            columns = [np.concatenate(c) for c in zip(*found, strict=True)] if found else [np.zeros(0)] * 6
-            yield pa.record_batch([pa.array(c.astype(f.type.to_pandas_dtype()), f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+                if len(seen) >= _MOST_NODES:
+                    seen.clear()
+                seen.add(node)
+                many = len(own) - (4 * len(own) + 4) // 5 + 1 if len(own) else 0
+                prefixes.append(own[:many])
+                salts.append(parted[:many])
+            columns = [pa.array(nodes, pa.int64()), pa.array(_fingerprints(sets_of), pa.int64()), pa.array([len(x) for x in sets_of], pa.int64()), _arrays(prefixes), _arrays(salts)]
+            yield pa.record_batch([batch.column(0), batch.column(1), *columns], schema=schema)
 
-    return map_arrow(docs.select(F.col(text_col).alias("text")), run, "h long, node long, n int, at int, salt int, salts int")
+    return map_arrow(rows, run, "doc_id long, text_hash long, node long, fp long, n long, prefix array<long>, salts array<long>")
 
 
-def members(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
-    """The rows of prefixes() whose shingle more than one node of their part has, or which is dealt to several parts; once per node."""
-    places = prefixes(docs, text_col=text_col).repartition("h", "salt").dropDuplicates(["h", "salt", "node"])
+def members(found: DataFrame) -> DataFrame:
+    """h, node, n, at (the place of h in the prefix), salt, salts: prefix shingles that several nodes of their part have, or that are dealt to several parts."""
+    places = found.select("node", F.col("n").cast("int").alias("n"), F.posexplode(F.arrays_zip("prefix", "salts")).alias("at", "of"))
+    places = places.select("of.prefix", "node", "n", "at", F.col("of.salts").cast("int").alias("salts")).withColumnRenamed("prefix", "h").withColumn("salt", F.pmod("node", "salts").cast("int"))
+    dealt = places.repartition("h", "salt").dropDuplicates(["h", "salt", "node"])
     many = F.count(F.lit(1)).over(Window.partitionBy("h", "salt"))
-    return places.withColumn("many", many).where("many > 1 OR salts > 1").drop("many")
+    return dealt.withColumn("many", many).where("many > 1 OR salts > 1").drop("many")
 
 
 def _centres(shared: DataFrame) -> DataFrame:
-    """of_h, of_salt, centre, centre_n: for each shingle of several nodes, the one that has it earliest, for each part."""
+    """of_h, of_salt, centre, centre_n, centre_at: for each shingle of several nodes, the one that has it earliest, for each part."""
     centre = F.min(F.struct("at", "node", "n")).alias("centre")
     found = shared.groupBy("h").agg(F.count(F.lit(1)).alias("many"), F.max("salts").alias("salts"), centre).where("many > 1")
-    return found.select(F.col("h").alias("of_h"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("of_salt"), F.col("centre.node").alias("centre"), F.col("centre.n").alias("centre_n"))
+    return found.select(F.col("h").alias("of_h"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("of_salt"), F.col("centre.node").alias("centre"), F.col("centre.n").alias("centre_n"), F.col("centre.at").alias("centre_at"))
 
 
 _OF_PART = "h = of_h AND salt = of_salt"
 
 
 def central_pairs(shared: DataFrame) -> DataFrame:
-    """a, b: each node with the centres of its prefix shingles, where their sizes allow the similarity."""
-    met = shared.join(_centres(shared).hint("merge"), F.expr(_OF_PART)).where("node <> centre AND 5 * least(n, centre_n) >= 4 * greatest(n, centre_n)")
+    """a, b: each node with the centres of its prefix shingles, as far as they may be similar."""
+    enough = "9 * (n - at) >= 4 * (n + centre_n) AND 9 * (centre_n - centre_at) >= 4 * (n + centre_n)"
+    met = shared.join(_centres(shared).hint("merge"), F.expr(f"{_OF_PART} AND node <> centre AND {enough}"))
     return met.select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
 
 
@@ -212,12 +219,13 @@ def simhash_pairs(nodes: DataFrame) -> DataFrame:
 
 
 def _with_set(pairs: DataFrame, whole: DataFrame, side: str) -> DataFrame:
-    """pairs with the set of one side; the pairs of a node that has very many are dealt to several tasks."""
-    counts = pairs.groupBy(F.col(side).alias("node")).agg((1 + F.floor(F.count(F.lit(1)) / PAIRS_OF_NODE)).cast("int").alias("parts"))
-    parts = counts.where("parts > 1")
-    dealt = whole.join(parts, "node", "left").select(F.col("node").alias(side), F.col("shingles").alias(f"of_{side}"), F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part"))
-    rows = pairs.join(parts.withColumnRenamed("node", side), side, "left")
-    return rows.withColumn("part", F.coalesce(F.pmod(F.xxhash64("a", "b"), F.col("parts")), F.lit(0)).cast("int")).drop("parts").join(dealt, [side, "part"]).drop("part")
+    """pairs (a_key, b_key, ...) with the set of one side; the pairs of a text that has very many are dealt to several tasks."""
+    counts = pairs.groupBy(F.col(f"{side}_key").alias("key")).agg((1 + F.floor(F.count(F.lit(1)) / PAIRS_OF_NODE)).cast("int").alias("parts"))
+    parts = stored(counts.where("parts > 1"), "parts")
+    dealt = whole.join(parts, "key", "left").select(F.col("key").alias(f"{side}_key"), F.col("shingles").alias(f"of_{side}"), F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part"))
+    rows = pairs.join(parts.withColumnRenamed("key", f"{side}_key"), f"{side}_key", "left")
+    part = F.coalesce(F.pmod(F.xxhash64("a", "b"), F.col("parts")), F.lit(0)).cast("int")
+    return rows.withColumn("part", part).drop("parts").join(dealt.hint("merge"), [f"{side}_key", "part"]).drop("part")
 
 
 def similar(pairs: DataFrame, found: DataFrame, docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -225,19 +233,20 @@ def similar(pairs: DataFrame, found: DataFrame, docs: DataFrame, *, id_col: str
     nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     one = found.join(nodes, "node", "left_semi").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "text_hash")).alias("first"))
     key = lambda i, text: F.xxhash64(i, text)
-    one = stored(one.select("node", key("first.doc_id", "first.text_hash").alias("of_key")), "to-verify")
+    one = stored(one.select("node", key("first.doc_id", "first.text_hash").alias("key")), "to-verify")
     texts = docs.select(key(F.col(id_col).cast("long"), text_hash(text_col)).alias("key"), F.col(text_col).alias("text"))
-    needed = sets(texts, _bits(one.select(F.col("of_key").alias("key"))))
-    whole = stored(needed.join(one, F.col("key") == F.col("of_key")).dropDuplicates(["key"]).select("node", "shingles"), "shingle-sets")
+    whole = stored(sets(texts, _bits(one)), "shingle-sets")
+    of = lambda side: one.select(F.col("node").alias(side), F.col("key").alias(f"{side}_key"))
+    keyed = stored(pairs.join(of("a"), "a").join(of("b"), "b"), "keyed-pairs")
     both = F.size(F.array_intersect("of_a", "of_b"))
-    return _with_set(_with_set(pairs, whole, "a"), whole, "b").where(9 * both >= 4 * (F.size("of_a") + F.size("of_b"))).select("a", "b")
+    return _with_set(_with_set(keyed, whole, "a"), whole, "b").where(9 * both >= 4 * (F.size("of_a") + F.size("of_b"))).select("a", "b").distinct()
 
 
 def groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, text_hash, root: the group of each row."""
     options = {"id_col": id_col, "text_col": text_col}
     found = stored(features(docs, **options), "features")
-    shared = stored(members(docs, text_col=text_col), "shared-shingles")
+    shared = stored(members(found), "shared-shingles")
     nodes = stored(found.groupBy("node").agg(F.min("fp").alias("fp")), "nodes")
     first = stored(simhash_pairs(nodes).unionByName(central_pairs(shared)).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "first-pairs")
     linked = stored(similar(first, found, docs, **options), "first-links")

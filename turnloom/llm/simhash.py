@@ -176,9 +176,9 @@ def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 def first_of_each(docs: DataFrame, grouped: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The first document of each group, as one_of_each chooses it; grouped: doc_id, text_hash, root for each row of docs.
 
-    Rows are chosen by two keys, of id and text and of the text; the texts move once, to the keys that stay.
+    Rows are chosen by two keys, of id and text and of the text. Those that go are struck out by an anti-join, which moves
+    no text while their keys are few enough for Spark to broadcast; rows that repeat id and text are merged apart from it.
     """
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "text_hash")).alias("first")
     keys = ["_key_of_row", "_key_of_text"]
     while {k.lower() for k in keys} & {c.lower() for c in docs.columns}:
         keys = [k + "_" for k in keys]
@@ -186,6 +186,14 @@ def first_of_each(docs: DataFrame, grouped: DataFrame, *, id_col: str = "doc_id"
     def keyed(doc_id: Column, of_text: Column) -> list[Column]:
         return [F.xxhash64(F.lit(1), doc_id.isNull(), doc_id, of_text.isNull(), of_text).alias(keys[0]), F.coalesce(of_text, F.lit(0)).alias(keys[1])]
 
-    kept = stored(grouped.groupBy("root").agg(first).select(*keyed(F.col("first.doc_id"), F.col("first.text_hash"))), "kept")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "text_hash")).alias("first")
+    rows = stored(grouped.groupBy("root", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("times")), "distinct-rows")
+    kept = stored(rows.groupBy("root").agg(first).select(*keyed(F.col("first.doc_id"), F.col("first.text_hash"))), "kept")
+    of_rows = rows.select(*keyed(F.col("doc_id"), F.col("text_hash")), "times")
+    gone = stored(of_rows.join(kept, keys, "left_anti").select(*keys), "gone")
+    repeated = stored(of_rows.where("times > 1").join(kept, keys, "left_semi").select(*keys), "repeated")
     marked = docs.select("*", *keyed(F.col(id_col).cast("long"), text_hash(text_col)))
-    return marked.join(kept.hint("merge"), keys, "left_semi").dropDuplicates(keys).drop(*keys)
+    single = marked.join(gone.unionByName(repeated), keys, "left_anti")
+    if not repeated.head(1):
+        return single.drop(*keys)
+    return single.unionByName(marked.join(repeated, keys, "left_semi").dropDuplicates(keys)).drop(*keys)

@@ -38,22 +38,36 @@ def held(column: Column) -> Column:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset."""
-    if folder := spark.conf.get("spark.checkpoint.dir", None):
-        return folder.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _own_folders:
-        _own_folders[app] = f"file://{tempfile.mkdtemp(prefix='turnloom-')}"
-    return _own_folders[app]
+    """The folder of this application in the one that driver and executors share, spark.checkpoint.dir.
+
+    Where that is unset, a local master gets a temporary folder of its own; any other is an error, for executors could
+    not read each other's files.
+    """
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        if context.applicationId not in _own_folders:
+            _own_folders[context.applicationId] = f"file://{tempfile.mkdtemp(prefix='turnloom-')}"
+        folder = _own_folders[context.applicationId]
+    return f"{folder.rstrip('/')}/turnloom/{context.applicationId}"
+
+
+def discard(spark: SparkSession) -> None:
+    """Deletes all intermediate tables of this application; results that still read them can't be used any more."""
+    jvm, path = spark._jvm, shared_folder(spark)
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Writes df as a table in the shared folder and reads it back.
 
     This cuts the lineage and survives lost executors, and what is expensive or not repeatable (Python passes,
-    generated row ids) is done once. The tables belong to the application; remove the folder when it has ended.
+    generated row ids) is done once. The tables belong to the application; discard() deletes them.
     """
-    path = f"{shared_folder(df.sparkSession)}/turnloom/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -9,17 +9,21 @@ Smoothing: the root takes a discount off each known token's count and gives it t
 a discount off the counts that it stores and gives the rest of its mass to all other tokens, in proportion to its
 suffix state. So every distribution sums to one over the known tokens and the unknown symbol.
 
-Scale: a context or a stored probability must hold a fixed fraction of all training tokens, which bounds the tree
-(CONTEXTS and ENTRIES per depth) whatever the corpus; it is broadcast, as are the few frequent tokens (FREQUENT). All other
-tokens are joined to the corpus counts by a shuffle on the token; each of them is too rare to make a task large.
+Scale: a token, a context or a stored probability is held by every worker if it occurs at least LEAST_COUNT times and at
+least a fixed part of the square root of the number of training tokens. So there is no cap: the tree grows with the
+corpus, and is at most SPREAD times that square root in each of its tables (30 GB of text, 5e9 tokens: 4.5 million
+rows of 16 bytes; a table above MOST_BYTES raises an error). All other tokens are joined to the corpus counts by a
+shuffle on the token; each of them occurs less often than that in all documents, held-out ones included, so none of
+them makes a task large. Contexts are coded by their place in the level above and their last token, at any depth.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from math import ceil
+from math import ceil, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -30,9 +34,11 @@ from pyspark.sql import functions as F
 from turnloom.llm.shared import LOWER_ASCII, slices, stored
 from turnloom.session import map_arrow
 
-#: At most so many tokens are frequent, contexts of one depth are kept, and probabilities of one depth are stored.
-FREQUENT, CONTEXTS, ENTRIES = 1 << 19, 1 << 13, 1 << 19
-DEPTH, DISCOUNT, LEAST_COUNT, LONGEST_FREQUENT = 2, 0.5, 4, 64
+#: Depth of the tree, discount of stored counts, and what makes a token or probability frequent: LEAST_COUNT, and one
+#: part in SPREAD of the square root of all training tokens; a context must occur CONTEXT times as often as that.
+DEPTH, DISCOUNT, LEAST_COUNT, SPREAD, CONTEXT = 3, 0.5, 4, 64, 4
+#: Tokens of more bytes than this are held by a hash. Tables of more bytes than that are not sent to workers.
+LONGEST, MOST_BYTES = 64, 2 << 30
 #: The end token; no word is empty.
 END = ""
 
@@ -46,33 +52,41 @@ def _tokens(text: pa.Scalar) -> list[bytes]:
     return (text.as_py() or "").encode().translate(LOWER_ASCII).split()
 
 
+def _key(token: bytes) -> bytes:
+    """What a token is held by: itself, or a hash with a space in front, which no token has."""
+    return token if len(token) <= LONGEST else b" " + hashlib.sha1(token).digest()
+
+
 def count_tokens(texts: DataFrame) -> DataFrame:
-    """token, n: how often each token occurs in the column text, one end token per row included."""
-    schema = pa.schema([("token", pa.string()), ("n", pa.int64())])
+    """token, n, every: how often each token occurs in the column text of rows to learn from, and in all; one end token per row included.
+
+    texts: text, learn (boolean).
+    """
+    schema = pa.schema([("token", pa.string()), ("n", pa.int64()), ("every", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in slices(whole, 0, 16 << 20)):
-            counts: Counter[bytes] = Counter()
-            for text in batch.column(0):
-                counts.update(_tokens(text))
-            counts[END.encode()] += batch.num_rows
-            yield pa.record_batch([pa.array([t.decode() for t in counts], pa.string()), pa.array(counts.values(), pa.int64())], schema=schema)
+            counts: tuple[Counter[bytes], Counter[bytes]] = (Counter(), Counter())
+            for text, learn in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+                own = counts[bool(learn)]
+                own.update(_tokens(text))
+                own[END.encode()] += 1
+            every = counts[0] + counts[1]
+            yield pa.record_batch([pa.array([t.decode() for t in every], pa.string()), pa.array([counts[1][t] for t in every], pa.int64()), pa.array(every.values(), pa.int64())], schema=schema)
 
-    return map_arrow(texts.select("text"), run, "token string, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    return map_arrow(texts.select("text", "learn"), run, "token string, n long, every long").groupBy("token").agg(F.sum("n").alias("n"), F.sum("every").alias("every"))
 
 
 @dataclass
 class Level:
-    """The kept contexts of one depth. A context is a code of its frequent tokens; entries are codes of place and token."""
+    """The contexts of one depth. A context is coded by its place in the level above and its last token; entries by place and token."""
 
-    contexts: np.ndarray
-    log_rest: np.ndarray  # by context: log10 of what a token without an entry gets of its suffix's probability
+    contexts: np.ndarray  # sorted codes of all that are frequent enough; those kept are marked
+    kept: np.ndarray
+    log_rest: np.ndarray  # by place: log10 of what a token without an entry gets of its suffix's probability
     entries: np.ndarray  # sorted: place of the context * number of frequent tokens + token
     log_entry: np.ndarray
 
-    def place(self, codes: np.ndarray) -> np.ndarray:
-        return _place(self.contexts, codes)
-
 
 def _place(ordered: np.ndarray, codes: np.ndarray) -> np.ndarray:
     """Where each code is in a sorted array; -1 if it isn't."""
@@ -90,14 +104,15 @@ class Tree:
     total: int  # training tokens
     distinct: int
     discount: float
-    tokens: list[str]
-    counts: np.ndarray
+    keys: list[bytes]  # of the frequent tokens
+    counts: np.ndarray  # 0 for those that only held-out texts have
     levels: list[Level] = field(default_factory=list)
 
     def __post_init__(self):
-        self.index = {t.encode(): k for k, t in enumerate(self.tokens)}
+        self.index = {k: i for i, k in enumerate(self.keys)}
         self.end = self.index.get(END.encode(), -1)
-        self.log_root = np.log10((self.counts - self.discount) / max(self.total, 1)) if len(self.tokens) else np.zeros(0)
+        root = np.maximum(self.counts - self.discount, 1e-300) / max(self.total, 1)
+        self.log_root = np.where(self.counts > 0, np.log10(root), self.log_unknown) if len(self.keys) else np.zeros(0)
 
     @property
     def log_unknown(self) -> float:
@@ -109,47 +124,51 @@ class Tree:
         for text in texts:
             own = _tokens(text)
             words.append(own)
-            ids.append(np.array([get(w, -1) for w in own] + [self.end], dtype=np.int64))
+            ids.append(np.array([get(w if len(w) <= LONGEST else _key(w), -1) for w in own] + [self.end], dtype=np.int64))
             n += len(own) + 1
             ends.append(n)
         return np.concatenate(ids) if ids else np.zeros(0, dtype=np.int64), np.array(ends, dtype=np.int64), words
 
-    def context_codes(self, ids: np.ndarray, ends: np.ndarray, depth: int) -> np.ndarray:
-        """For each token, the code of the ``depth`` tokens before it; -1 where the text has fewer or one isn't frequent."""
-        h = len(self.tokens)
-        begins = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
-        since = np.arange(len(ids)) - np.repeat(begins, np.diff(ends, prepend=0))
-        code, known = np.zeros(len(ids), dtype=np.int64), since >= depth
-        for k in range(depth, 0, -1):  # the token farthest back comes first in the code
-            before = np.full(len(ids), -1)
-            before[k:] = ids[:-k] if k < len(ids) else before[k:]
-            known &= before >= 0
-            code = code * h + before
-        return np.where(known, code, -1)
+    def places(self, ids: np.ndarray, ends: np.ndarray, candidates: np.ndarray | None = None) -> Iterator[np.ndarray]:
+        """For each depth, the place of the context that precedes each token; -1 where that is none of the level.
+
+        candidates: codes of one more level.
+        """
+        h, first = len(self.keys), np.zeros(len(ids), dtype=bool)
+        first[np.concatenate([[0], ends[:-1]])[: len(ends)]] = True
+        place = np.where(first, -1, 0)  # the empty context, which every first token lacks one token to extend
+        before = np.concatenate([[-1], ids[:-1]])
+        before[first] = -1
+        for contexts in [*(level.contexts for level in self.levels), *([] if candidates is None else [candidates])]:
+            code = np.where((place >= 0) & (before >= 0), place * h + before, -1)
+            here = _place(contexts, code)
+            yield here
+            # one longer: what preceded the token before, and that token
+            place = np.concatenate([[-1], here[:-1]])
+            place[first] = -1
 
     def log_score(self, ids: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """log10 probability of each token, without the root's part for tokens that aren't frequent."""
         score = np.where(ids >= 0, self.log_root[ids] if len(self.log_root) else 0.0, 0.0)
-        for depth, level in enumerate(self.levels, 1):
-            place = level.place(self.context_codes(ids, ends, depth))
-            here = np.flatnonzero(place >= 0)
-            entry = np.where(ids[here] >= 0, _place(level.entries, place[here] * len(self.tokens) + ids[here]), -1)
+        for level, place in zip(self.levels, self.places(ids, ends), strict=True):
+            here = np.flatnonzero((place >= 0) & (level.kept[place] if len(level.kept) else False))
+            entry = np.where(ids[here] >= 0, _place(level.entries, place[here] * len(self.keys) + ids[here]), -1)
             score[here] += level.log_rest[place[here]]
             score[here[entry >= 0]] = level.log_entry[entry[entry >= 0]]
         return score
 
 
-def _next_counts(texts: DataFrame, tree: Tree, depth: int, candidates: np.ndarray, least: int) -> list:
-    """Rows (place of the context, token, n): how often frequent tokens follow the candidates, if at least ``least`` times."""
+def _next_counts(texts: DataFrame, tree: Tree, candidates: np.ndarray, least: int) -> list:
+    """Rows (place of the context * number of tokens + token, n): how often frequent tokens follow the candidates, if at least ``least`` times."""
     shared = texts.sparkSession.sparkContext.broadcast((tree, candidates))
     schema = pa.schema([("code", pa.int64()), ("n", pa.int64())])
-    h = len(tree.tokens)
+    h = len(tree.keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, contexts = shared.value
-        for batch in (part for whole in batches for part in slices(whole, 0)):
+        for batch in (part for whole in batches for part in slices(whole, 0, 8 << 20)):
             ids, ends, _ = model.ids(batch.column(0))
-            place = _place(contexts, model.context_codes(ids, ends, depth))
+            *_, place = model.places(ids, ends, contexts)
             codes, n = np.unique((place * h + ids)[(place >= 0) & (ids >= 0)], return_counts=True)
             yield pa.record_batch([pa.array(codes, pa.int64()), pa.array(n, pa.int64())], schema=schema)
 
@@ -158,55 +177,59 @@ def _next_counts(texts: DataFrame, tree: Tree, depth: int, candidates: np.ndarra
 
 
 def learn(texts: DataFrame, *, depth: int = DEPTH) -> tuple[Tree, DataFrame]:
-    """The tree of the column text, and the stored table of all token counts (token, n)."""
+    """The tree of the texts (text, learn) to learn from, and the stored table of all token counts (token, n, every)."""
     counts = stored(count_tokens(texts), "token-counts")
-    row = counts.agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("distinct"), F.sum((F.col("n") == 1).cast("long")).alias("once"), F.sum((F.col("n") == 2).cast("long")).alias("twice")).first()
+    row = counts.where("n > 0").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("distinct"), F.sum((F.col("n") == 1).cast("long")).alias("once"), F.sum((F.col("n") == 2).cast("long")).alias("twice")).first()
     total = row["total"] or 0
     discount = min(0.95, max(0.05, row["once"] / (row["once"] + 2 * row["twice"]))) if row["once"] else DISCOUNT
-    least = max(1, ceil(total / FREQUENT))
-    frequent = counts.where((F.col("n") >= least) & (F.octet_length("token") <= LONGEST_FREQUENT)).orderBy("token").collect()
-    tree = Tree(total, row["distinct"], discount, [r["token"] for r in frequent], np.array([r["n"] for r in frequent], dtype=np.float64))
-    h, of_context = len(tree.tokens), np.array(tree.counts)
-    candidates = np.flatnonzero((tree.counts >= max(LEAST_COUNT, total / CONTEXTS)) & (np.arange(h) != tree.end)).astype(np.int64)
-    of_context = tree.counts[candidates]
-    for d in range(1, depth + 1):
+    least = max(LEAST_COUNT, ceil(sqrt(total) / SPREAD))
+    of_context_least = max(LEAST_COUNT, ceil(CONTEXT * sqrt(total) / SPREAD))
+    key = F.when(F.octet_length("token") <= LONGEST, F.col("token").cast("binary")).otherwise(F.concat(F.lit(" ").cast("binary"), F.unhex(F.sha1("token"))))
+    rows = sorted((bytes(r["key"]), r["n"]) for r in counts.where(F.col("every") >= least).select(key.alias("key"), "n").collect())
+    _fits(rows)
+    tree = Tree(total, row["distinct"], discount, [k for k, _ in rows], np.array([n for _, n in rows], dtype=np.float64))
+    h, training = len(tree.keys), texts.where("learn")
+    candidates = np.flatnonzero((tree.counts >= of_context_least) & (np.arange(h) != tree.end)).astype(np.int64)
+    words, of_context = candidates[:, None], tree.counts[candidates]
+    for _ in range(depth):
         if not len(candidates):
             break
-        rows = _next_counts(texts, tree, d, candidates, max(LEAST_COUNT, ceil(total / ENTRIES)))
+        if len(candidates) * h >= 1 << 63:
+            raise OverflowError("contexts can't be coded in 63 bits; raise LEAST_COUNT")
+        rows = _next_counts(training, tree, candidates, least)
+        _fits(rows)
         codes = np.array([r["code"] for r in rows], dtype=np.int64)
-        n = np.array([r["n"] for r in rows], dtype=np.float64)
-        order = np.argsort(codes)
-        codes, n = codes[order], n[order]
+        n = np.array([r["n"] for r in rows], dtype=np.float64)[np.argsort(codes)]
+        codes.sort()
         place, token = codes // h, codes % h
-        level = _kept(tree, d, candidates, of_context, place, token, n)
-        # contexts one longer: (candidate, token) that are frequent enough themselves
-        longer = (n >= max(LEAST_COUNT, total / CONTEXTS)) & (token != tree.end)
-        next_codes = candidates[place[longer]] * h + token[longer]
-        order = np.argsort(next_codes)
-        of_next = n[longer][order]
-        tree.levels.append(level)
-        candidates, of_context = next_codes[order], of_next
-        if h ** (d + 2) >= 1 << 63:
-            break
+        tree.levels.append(_kept(tree, candidates, words, of_context, place, token, n))
+        # contexts one longer: the code of one that is followed often enough by a word is that of the two together
+        longer = (n >= of_context_least) & (token != tree.end)
+        candidates, of_context = codes[longer], n[longer]
+        words = np.concatenate([words[place[longer]], token[longer][:, None]], axis=1)
     return tree, counts
 
 
-def _kept(tree: Tree, depth: int, candidates: np.ndarray, of_context: np.ndarray, place: np.ndarray, token: np.ndarray, n: np.ndarray) -> Level:
-    """The candidates that pass the divergence test, with what they store."""
-    h, many = len(tree.tokens), len(candidates)
+def _fits(rows: list) -> None:
+    if 16 * len(rows) > MOST_BYTES:
+        raise MemoryError(f"a table of the tree has {len(rows)} rows, more than workers should hold; raise LEAST_COUNT")
+
+
+def _kept(tree: Tree, candidates: np.ndarray, words: np.ndarray, of_context: np.ndarray, place: np.ndarray, token: np.ndarray, n: np.ndarray) -> Level:
+    """The level of the candidates, those kept that pass the divergence test, with what they store."""
+    many = len(candidates)
     # the probability of each stored token in the context's longest kept suffix, scored as the last of a text of its own
-    digits = np.stack([candidates[place] // h**k % h for k in range(depth - 2, -1, -1)] + [token], axis=1) if depth > 1 else token[:, None]
-    lengths = np.full(len(token), digits.shape[1], dtype=np.int64)
-    below = 10 ** tree.log_score(digits.reshape(-1), np.cumsum(lengths)).reshape(digits.shape)[:, -1] if len(token) else np.zeros(0)
+    suffixes = np.concatenate([words[place, 1:], token[:, None]], axis=1)
+    length = suffixes.shape[1]
+    below = 10 ** tree.log_score(suffixes.reshape(-1), np.arange(1, len(token) + 1) * length).reshape(-1, length)[:, -1] if len(token) else np.zeros(0)
     own = (n - DISCOUNT) / of_context[place]
     stored_mass, stored_below = np.bincount(place, own, many), np.bincount(place, below, many)
     rest, rest_below = np.maximum(1 - stored_mass, 1e-12), np.maximum(1 - stored_below, 1e-12)
+    entries = np.bincount(place, minlength=many)
     gain = np.bincount(place, n * np.log(own / below), many) + np.maximum(of_context - np.bincount(place, n, many), 0) * np.log(rest / rest_below)
-    cost = 0.5 * np.log(np.maximum(of_context, 2)) * np.bincount(place, minlength=many)
-    kept = (gain > cost) & (np.bincount(place, minlength=many) > 0)
-    new_place = np.cumsum(kept) - 1
+    kept = (gain > 0.5 * np.log(np.maximum(of_context, 2)) * entries) & (entries > 0)
     chosen = kept[place]
-    return Level(candidates[kept], np.log10(rest / rest_below)[kept], new_place[place[chosen]] * h + token[chosen], np.log10(own[chosen]))
+    return Level(candidates, kept, np.log10(rest / rest_below), place[chosen] * len(tree.keys) + token[chosen], np.log10(own[chosen]))
 
 
 def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH) -> DataFrame:
@@ -220,7 +243,7 @@ def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", de
     and has probability one; an empty table gives no rows; other columns are not read.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    tree, counts = learn(rows.where(~held_out()), depth=depth)
+    tree, counts = learn(rows.select("text", (~held_out()).alias("learn")), depth=depth)
     shared = docs.sparkSession.sparkContext.broadcast(tree)
     log_total = float(np.log10(tree.total + tree.distinct + 1))
     rare = pa.list_(pa.struct([("token", pa.string()), ("times", pa.int32())]))
@@ -230,6 +253,7 @@ def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", de
         model = shared.value
         row = TaskContext.get().partitionId() << 40
         log_count = np.append(np.log10(model.counts + 1), 0.0)  # the last: tokens that aren't frequent, for now
+        known = np.append(model.counts > 0, False).astype(np.int64)
         for batch in (part for whole in batches for part in slices(whole, 1)):
             ids, ends, words = model.ids(batch.column(1))
             begins = np.concatenate([[0], ends[:-1]])
@@ -241,7 +265,7 @@ def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", de
                 others.append([{"token": t.decode(), "times": c} for t, c in seen.items()])
             yield pa.record_batch([
                 pa.array(np.arange(row, row + batch.num_rows), pa.int64()), batch.column(0), pa.array(np.diff(ends, prepend=0), pa.int64()),
-                pa.array(np.add.reduceat((ids >= 0).astype(np.int64), begins), pa.int64()), pa.array(np.add.reduceat(log_count[ids], begins), pa.float64()),
+                pa.array(np.add.reduceat(known[ids], begins), pa.int64()), pa.array(np.add.reduceat(log_count[ids], begins), pa.float64()),
                 pa.array(np.add.reduceat(model.log_score(ids, ends), begins), pa.float64()), pa.array(others, rare),
             ], schema=schema)
             row += batch.num_rows
@@ -249,9 +273,9 @@ def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", de
     kinds = "row long, doc_id long, n_tokens long, known long, base double, tree double, rare array<struct<token string, times int>>"
     found = stored(map_arrow(rows, run, kinds), "scores")
     total = float(max(tree.total, 1))
-    root = F.when(F.col("n").isNull(), F.lit(tree.log_unknown)).otherwise(F.log10((F.col("n") - tree.discount) / total))
-    others = found.select("row", F.inline("rare")).join(counts, "token", "left").groupBy("row").agg(
-        F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("rare_known"),
+    root = F.when(F.col("n") > 0, F.log10((F.col("n") - tree.discount) / total)).otherwise(F.lit(tree.log_unknown))
+    others = found.select("row", F.inline("rare")).join(counts.select("token", "n"), "token", "left").groupBy("row").agg(
+        F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("rare_known"),
         F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 1.0)).alias("rare_base"),
         F.sum(F.col("times") * root).alias("rare_tree"),
     )

@@ -264,6 +264,22 @@ def test_links_in_dense_clusters(spark, dense):
 # near copies by Jaccard similarity
 
 
+def shingles(text):
+    own = ["".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in w) for w in words(text)]
+    return {tuple(own[i : i + 5]) for i in range(max(1, len(own) - 4))} if own else set()
+
+
+def jaccard_survivors(rows):
+    """The ids that stay, by comparing all pairs of (id, text)."""
+    found, root = [shingles(t) for _, t in rows], list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            if root[a] != root[b] and 5 * len(found[a] & found[b]) >= 4 * len(found[a] | found[b]):
+                root = [root[b] if r == root[a] else r for r in root]
+    order = lambda k: (rows[k][0] is None, rows[k][0] or 0)
+    return {rows[min((k for k in range(len(rows)) if root[k] == r), key=order)][0] for r in set(root)}
+
+
 @pytest.mark.parametrize("common", [8, 2])
 def test_near_copies(spark, docs, plain, monkeypatch, common):
     monkeypatch.setattr(near_copies, "COMMON", common)
@@ -278,44 +294,83 @@ def test_near_copies(spark, docs, plain, monkeypatch, common):
                 copy[at] = "changed"
             rows.append((1000 + 10 * k + c, " ".join(copy)))
 
-    def shingles(text):
-        own = ["".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in w) for w in words(text)]
-        return {tuple(own[i : i + 5]) for i in range(max(1, len(own) - 4))} if own else set()
-
-    found = [shingles(t) for _, t in rows]
-    root = list(range(len(rows)))
+    expected = jaccard_survivors(rows)
     far = 0
-    for a in range(len(rows)):
-        for b in range(a):
-            if 5 * len(found[a] & found[b]) >= 4 * len(found[a] | found[b]):
-                far += root[a] != root[b] and (simhash.fingerprint(rows[a][1] or "", 5) ^ simhash.fingerprint(rows[b][1] or "", 5)).bit_count() > simhash.NEAR
-                root = [root[b] if r == root[a] else r for r in root]
+    for a, b in combinations(range(len(plain), len(rows)), 2):
+        x, y = shingles(rows[a][1]), shingles(rows[b][1])
+        far += 5 * len(x & y) >= 4 * len(x | y) and (simhash.fingerprint(rows[a][1], 5) ^ simhash.fingerprint(rows[b][1], 5)).bit_count() > simhash.NEAR
     assert far > 20
-    order = lambda k: (rows[k][0] is None, rows[k][0] or 0)
-    expected = sorted((str(rows[min((k for k in range(len(rows)) if root[k] == r), key=order)][0]) for r in set(root)))
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    assert sorted(str(r["doc_id"]) for r in near_copies.one_of_each(df).collect()) == expected
+    assert {r["doc_id"] for r in near_copies.one_of_each(df).collect()} == expected
     assert near_copies.one_of_each(docs).columns == docs.columns and near_copies.one_of_each(docs.limit(0)).count() == 0
 
 
+def test_near_copies_of_one_family(spark, monkeypatch):
+    """Many texts of one origin: more than one part per shingle, chains beyond the similarity of their ends, and pairs dealt to tasks."""
+    monkeypatch.setattr(near_copies, "DEALT", 8)
+    monkeypatch.setattr(near_copies, "PAIRS_OF_NODE", 16)
+    rng = random.Random(12)
+    base = [f"w{k}" for k in range(140)]
+    rows = []
+    for k in range(150):
+        copy = list(base)
+        for at in rng.sample(range(140), rng.randint(0, 5)):
+            copy[at] = f"x{rng.random()}"
+        rows.append((k, " ".join(copy)))
+    chain = [f"c{k}" for k in range(90)]
+    for k in range(40):
+        chain[2 * k] = f"y{k}"
+        rows.append((1000 + k, " ".join(chain)))
+    got_pairs = near_copies.groups(spark.createDataFrame(rows, "doc_id long, text string"))
+    found = {}
+    for r in got_pairs.collect():
+        found.setdefault(r["root"], []).append(r["doc_id"])
+    assert {min(x) for x in found.values()} == jaccard_survivors(rows)
+
+
 # sketches
 
 
+def brute_sketch(text):
+    def rolled(tokens):
+        h = 42
+        for t in tokens:
+            h = xxhash.xxh64_intdigest(t.encode(), h)
+        return h - (1 << 64) if h >> 63 else h
+
+    w = words(text)
+    every = {rolled(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {rolled([" ".join(w)])} if w else set()
+    below = sorted(h for h in every if h < -(1 << 63) + (1 << 64) // sketch.ONE_IN)
+    kept = below if len(below) >= sketch.LEAST else sorted(every)[: sketch.LEAST]
+    limit = (1 << 63) - 1 if len(kept) < sketch.LEAST else max(-(1 << 63) + (1 << 64) // sketch.ONE_IN - 1, kept[-1])
+    return kept, limit, every
+
+
+def brute_likeness(a, b):
+    limit = min(a[1], b[1])
+    x, y = ({h for h in s[0] if h <= limit} for s in (a, b))
+    return len(x & y) / len(x | y) if x | y else 1.0
+
+
 def test_sketch(docs, plain):
     key = lambda r: (r[0] is not None, r[0] or 0)
     found = {r["doc_id"]: r for r in sketch.compare_edits(docs).collect()}
     order = [r for r in sorted(((i, t or "") for i, t in plain), key=key)]
     unique = Counter(i for i, _ in order)
+    shown = lambda s: "".join(f"{h & (1 << 64) - 1:016x}" for h in s[0])
+    errors = []
     for k, (i, t) in enumerate(order):
         following = order[(k + 1) % len(order)]
         if unique[i] > 1 or unique[following[0]] > 1:
             continue
         q = len(t) // 4
         changed = t[: len(t) - q] + following[1][:q]
-        r = found[i]
+        r, own, other, next_own = found[i], brute_sketch(t), brute_sketch(changed), brute_sketch(following[1])
         assert r["n_chars"] == len(t) and r["edited_sha256"] == hashlib.sha256(changed.encode()).hexdigest()
-        assert 0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1
-        assert (r["fingerprint"] == r["edited_fingerprint"]) or changed != t
+        assert r["fingerprint"] == shown(own) and r["edited_fingerprint"] == shown(other)
+        assert abs(r["near_edited"] - brute_likeness(own, other)) < 1e-12 and abs(r["near_next"] - brute_likeness(own, next_own)) < 1e-12
+        errors.append(abs(r["near_edited"] - (len(own[2] & other[2]) / len(own[2] | other[2]) if own[2] | other[2] else 1.0)))
+    assert len(errors) > 50 and np.mean(errors) < 0.03
     assert sketch.compare_edits(docs).count() == len(plain) and sketch.compare_edits(docs.limit(0)).count() == 0
 
 
@@ -326,6 +381,36 @@ def test_sketch_estimates(spark):
     a, b, c = (sketch.sketch(F.col(x)) for x in "abc")
     row = df.select(sketch.containment(b, a).alias("whole"), sketch.containment(a, b).alias("quarter"), sketch.resemblance(a, c).alias("half"), (sketch.merged(b, c) == sketch.sketch(F.concat_ws(" ", "b", "c"))).alias("merged"), F.size(a).alias("n")).first()
     assert row["whole"] == 1.0 and abs(row["quarter"] - 0.25) < 0.05 and abs(row["half"] - 0.5) < 0.06 and abs(row["n"] - 1000) < 150
+    with pytest.raises(ValueError):
+        sketch.sketch(F.col("a"), one_in=1)
+
+
+def test_short_passages_are_never_found_missing(spark):
+    rng = random.Random(3)
+    w = [f"w{rng.randint(0, 10**6)}" for _ in range(1000)]
+    rows = [(" ".join(w), " ".join(w[k * 5 : k * 5 + 8]), " ".join(f"x{rng.random()}" for _ in range(8))) for k in range(190)]
+    df = spark.createDataFrame(rows, "long string, part string, other string").withColumns({"word": F.lit("x"), "own": F.lit(1), "own__below": F.lit(2), "OWN__words": F.lit(3)})
+    made = sketch.sketches(df, {"own": "long", "p": "part", "q": "other"})
+    assert {"own__below", "OWN__words", "word"} <= set(made.columns) and made.where("own__below <> 2").count() == 0
+    found = made.select(sketch.containment(F.col("p"), F.col("own")).alias("inside"), sketch.containment(F.col("q"), F.col("own")).alias("apart"), sketch.resemblance(F.col("p"), F.col("p")).alias("self")).collect()
+    assert {r["inside"] for r in found} == {None, 1.0} and {r["apart"] for r in found} == {None, 0.0} and {r["self"] for r in found} == {1.0}
+
+
+def test_next_with_one_id_for_many(spark):
+    rng = random.Random(4)
+    rows = [(7, f"seven {k}") for k in range(60)] + [(None, f"none {k}") for k in range(40)] + [(k, f"t{k}") for k in range(20)] + [((1 << 63) - 1, "last"), (-(1 << 63), "first")]
+    rng.shuffle(rows)
+    found = sketch.with_next(spark.createDataFrame(rows, "doc_id long, text string"), ranges=12).collect()
+    after = {r["text"]: r["next_text"] for r in found}
+    assert len(found) == len(rows) == len(after) == len(set(after.values()))
+    at, order = "first", []
+    for _ in rows:
+        order.append(at)
+        at = after[at]
+    place = {t: k for k, t in enumerate(order)}
+    ids = [i for i, t in sorted(rows, key=lambda r: place[r[1]])]
+    known = [i for i in ids if i is not None]
+    assert known == sorted(known) and ids[len(known) :] == [None] * 40
 
 
 @pytest.mark.parametrize("ranges", [1, 2, 7, 50])
@@ -348,23 +433,79 @@ def test_scores(docs, plain):
     assert all(r["score"] < 0 for r in found.collect()) and suffix_tree.score(docs.limit(0)).count() == 0
 
 
+class BruteTree:
+    """The tree of the docstring, in dictionaries."""
+
+    def __init__(self, training, others, depth):
+        n, every = Counter(w for ws in training for w in ws), Counter(w for ws in training + others for w in ws)
+        self.n, self.total = n, sum(n.values())
+        once, twice = sum(c == 1 for c in n.values()), sum(c == 2 for c in n.values())
+        self.discount = min(0.95, max(0.05, once / (once + 2 * twice))) if once else suffix_tree.DISCOUNT
+        least = max(suffix_tree.LEAST_COUNT, math.ceil(math.sqrt(self.total) / suffix_tree.SPREAD))
+        of_context = max(suffix_tree.LEAST_COUNT, math.ceil(suffix_tree.CONTEXT * math.sqrt(self.total) / suffix_tree.SPREAD))
+        frequent = {w for w, c in every.items() if c >= least}
+        self.kept, self.candidates = {}, 0
+        contexts = {(w,): n[w] for w in frequent if n[w] >= of_context and w}
+        for d in range(1, depth + 1):
+            self.candidates += len(contexts)
+            follow = {c: Counter() for c in contexts}
+            for ws in training:
+                for k in range(d, len(ws)):
+                    if tuple(ws[k - d : k]) in follow and ws[k] in frequent:
+                        follow[tuple(ws[k - d : k])][ws[k]] += 1
+            follow = {c: {w: m for w, m in f.items() if m >= least} for c, f in follow.items()}
+            level = {}
+            for c, f in follow.items():
+                below = {w: self.probability(c[1:], w) for w in f}
+                own = {w: (m - suffix_tree.DISCOUNT) / contexts[c] for w, m in f.items()}
+                rest, rest_below = max(1 - sum(own.values()), 1e-12), max(1 - sum(below.values()), 1e-12)
+                gain = sum(m * math.log(own[w] / below[w]) for w, m in f.items()) + (contexts[c] - sum(f.values())) * math.log(rest / rest_below)
+                if f and gain > 0.5 * math.log(max(contexts[c], 2)) * len(f):
+                    level[c] = (own, rest / rest_below)
+            self.kept.update(level)
+            contexts = {(*c, w): m for c, f in follow.items() for w, m in f.items() if m >= of_context and w}
+
+    def probability(self, context, word):
+        for k in range(len(context)):
+            if context[k:] in self.kept:
+                own, rest = self.kept[context[k:]]
+                return own[word] if word in own else rest * self.probability(context[k + 1 :], word)
+        return (self.n[word] - self.discount) / self.total if self.n[word] else self.discount * len(self.n) / self.total
+
+
+@pytest.mark.parametrize("depth", [3, 4])
+def test_scores_equal_brute_force(spark, sf, depth):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").unionByName(spark.createDataFrame([(100_000 + k, "one two three four five six " * 9 + "-" * 80 + " x" * (k % 5), "", "", 0) for k in range(30)], "doc_id long, text string, lang string, source string, n_chars long"))
+    rows = [(r["doc_id"], re.findall(rb"[^\x20\x09-\x0D]+", (r["text"] or "").encode().translate(suffix_tree.LOWER_ASCII))) for r in docs.select("doc_id", "text").collect()]
+    rows = [(i, [w.decode() for w in ws] + [""]) for i, ws in rows]
+    held = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
+    tree = BruteTree([ws for i, ws in rows if not held(i)], [ws for i, ws in rows if held(i)], depth)
+    expected = {i: sum(math.log10(tree.probability(tuple(ws[max(0, k - depth) : k]), w)) for k, w in enumerate(ws)) for i, ws in rows}
+    found = {r["doc_id"]: r["score"] for r in suffix_tree.score(docs, depth=depth).collect()}
+    assert found.keys() == expected.keys() and all(abs(found[i] - expected[i]) < 1e-6 * max(1, abs(expected[i])) for i in found)
+    assert any(len(c) == depth for c in tree.kept) and len(tree.kept) > 100
+
+
 def test_tree_is_a_distribution_and_beats_the_base(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
-    tree, counts = suffix_tree.learn(docs.where(~suffix_tree.held_out()))
+    tree, counts = suffix_tree.learn(docs.select("text", (~suffix_tree.held_out()).alias("learn")))
     everything = {r["token"]: r["n"] for r in counts.collect()}
-    root = sum((n - tree.discount) / tree.total for n in everything.values()) + 10**tree.log_unknown
+    root = sum((n - tree.discount) / tree.total for n in everything.values() if n) + 10**tree.log_unknown
     assert abs(root - 1) < 1e-9
-    h = len(tree.tokens)
-    rare = sum((n - tree.discount) / tree.total for t, n in everything.items() if t.encode() not in tree.index) + 10**tree.log_unknown
+    h = len(tree.keys)
+    rare = sum((n - tree.discount) / tree.total for t, n in everything.items() if n and suffix_tree._key(t.encode()) not in tree.index) + 10**tree.log_unknown
+    known = np.flatnonzero(tree.counts > 0)
+    words = [(int(c),) for c in tree.levels[0].contexts]
     for depth, level in enumerate(tree.levels, 1):
-        for code in level.contexts[:: max(1, len(level.contexts) // 20)].tolist():
-            context = [code // h**k % h for k in range(depth - 1, -1, -1)]
-            ids = np.array([[*context, w] for w in range(h)]).reshape(-1)
-            each = 10 ** tree.log_score(ids, np.arange(1, h + 1) * (depth + 1)).reshape(h, depth + 1)[:, -1]
-            other = 10 ** tree.log_score(np.array([*context, -1]), np.array([depth + 1]))[-1]
+        if depth > 1:
+            words = [(*words[c // h], c % h) for c in level.contexts.tolist()]
+        for k in np.flatnonzero(level.kept)[:: max(1, int(level.kept.sum()) // 20)].tolist():
+            ids = np.array([[*words[k], w] for w in known]).reshape(-1)
+            each = 10 ** tree.log_score(ids, np.arange(1, len(known) + 1) * (depth + 1)).reshape(len(known), depth + 1)[:, -1]
+            other = 10 ** tree.log_score(np.array([*words[k], -1]), np.array([depth + 1]))[-1]
             assert abs(each.sum() + other * rare - 1) < 1e-6
     unseen = suffix_tree.score(docs).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
-    assert len(tree.levels[0].contexts) > 0 and unseen[0] > unseen[1]
+    assert tree.levels[0].kept.any() and unseen[0] > unseen[1]
 
 
 # pieces
@@ -449,6 +590,35 @@ def test_warc_round_trip(spark):
     assert warc.round_trip(df.limit(0)).count() == 0
 
 
+def test_warc_references_and_members(spark, tmp_path):
+    import gzip
+
+    rows = [(k, f"http://h/{k}", "same " * 5 if k % 2 else f"own {k}") for k in range(40)] + [(1, "http://h/1", "same " * 5)] * 3 + [(41, "u", "é" * 200_000), (41, "u", "é" * 200_000)]
+    warc.write(spark.createDataFrame(rows, "page_id long, url string, html string"), str(tmp_path / "a"), archive_bytes=2000)
+    files = [p.read_bytes() for p in (tmp_path / "a").glob("part-*")]
+    assert len(files) > 3
+    for data in files:
+        assert gzip.decompress(data) == b"".join(warc._unpacked(memoryview(data), 64)) == b"".join(warc._unpacked(memoryview(data)))
+    read = warc.read(spark, str(tmp_path / "a"), resolve=True).collect()
+    payload = {r["record_id"]: bytes(r["payload"]) for r in read if r["record_type"] == "response"}
+    revisits = [r for r in read if r["record_type"] == "revisit"]
+    assert len(revisits) == 19 and all(r["refers_to"] in payload and bytes(r["payload"]) == payload[r["refers_to"]] == b"same " * 5 for r in revisits)
+    assert len(read) == len(rows) and all(r["complete"] for r in read)
+    assert Counter(bytes(r["payload"]) for r in read) == Counter(h.encode() for _, _, h in rows)
+
+
+def test_warc_bad_records(spark, tmp_path):
+    good = lambda k: warc._header([("WARC-Type", "resource"), ("WARC-Record-ID", f"<urn:{k}>"), ("Content-Length", "5")]) + b"WARC/" + warc.END
+    short = warc._header([("WARC-Type", "resource"), ("WARC-Record-ID", "<urn:short>"), ("Content-Length", "99999")]) + b"abc\r\n\r\n"
+    odd = warc._header([("WARC-Type", "resource"), ("WARC-Record-ID", "<urn:odd>"), ("WARC-Segment-Number", "x"), ("Content-Length", "1")]) + b"a" + warc.END
+    unread = b"WARC/1.1\r\nWARC-Record-ID: <urn:none>\r\nContent-Length: many\r\n\r\n"
+    (tmp_path / "a.warc").write_bytes(good(1) + unread + good(2) + b"noise\r\n" + good(3) + odd + short + good(4))
+    (tmp_path / "big.warc").write_bytes(b"".join(warc._header([("WARC-Type", "resource"), ("WARC-Record-ID", f"<urn:big{k}>"), ("Content-Length", str(3 << 20))]) + b"x" * (3 << 20) + warc.END for k in range(12)))
+    found = {r["record_id"]: r["complete"] for r in warc.read(spark, str(tmp_path)).collect()}
+    assert {k: v for k, v in found.items() if "big" not in k} == {"<urn:1>": True, "<urn:none>": False, "<urn:2>": True, "": False, "<urn:3>": True, "<urn:odd>": False, "<urn:short>": False, "<urn:4>": True}
+    assert sum(v for k, v in found.items() if "big" in k) == 12
+
+
 def test_warc_faults(spark, tmp_path):
     def part(number, block, total=None, name="<urn:a>"):
         fields = [("WARC-Type", "response" if number == 1 else "continuation"), ("WARC-Record-ID", name if number == 1 else f"<urn:{number}>"), ("WARC-Segment-Number", str(number))]
@@ -504,6 +674,21 @@ def test_html_loses_no_word(spark, sf):
         assert Counter(w for w in found[r["page_id"]].split() if w != "-") == expected - Counter(["-"] * expected["-"])
 
 
+# intermediate tables
+
+
+def test_intermediate_tables_need_a_shared_folder(spark):
+    from types import SimpleNamespace
+
+    from turnloom.llm import shared
+
+    session = lambda master: SimpleNamespace(sparkContext=SimpleNamespace(master=master, applicationId="a"), conf=SimpleNamespace(get=lambda name, other: other))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared.shared_folder(session("spark://host:7077"))
+    assert shared.shared_folder(session("local[2]")).startswith("file:///")
+    assert shared.shared_folder(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
 # registered queries and the pipeline
 
 
@@ -526,7 +711,7 @@ def test_pipeline(spark, sf):
     _, good, lines, one, packed = kept
     assert good.columns == lines.columns == one.columns == docs.columns
     assert got(lines, "doc_id") == got(good, "doc_id") and lines.where("length(text) <> n_chars").count() == 0
-    assert one.count() == simhash.near_duplicates(lines, shingle=5).select("component_id").distinct().count()
+    assert {r[0] for r in got(one, "doc_id")} == jaccard_survivors([(r["doc_id"], r["text"]) for r in lines.select("doc_id", "text").collect()])
     rows = [tuple(r) for r in packed.collect()]
     sequences(rows)
     assert {r[0] for r in rows} == {r[0] for r in got(one, "doc_id")}

@@ -23,14 +23,16 @@ BLOCK = 512
 TEMPLATE = ("<|im_start|>", "\n", "<|im_end|>\n")
 
 
-def _turn_hash(seed: int) -> Column:
-    """Of role and text; null is not the empty string."""
-    return F.xxhash64(F.lit(seed), F.col("role").isNull(), F.coalesce("role", F.lit("")), F.col("text").isNull(), F.coalesce("text", F.lit("")))
+def _turn_hash(part: int) -> Column:
+    """60 bits of the MD5 of role and text; null is not the empty string."""
+    role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
+    said = F.concat(F.col("role").isNull().cast("string"), F.length(role).cast("string"), F.lit(":"), role, F.col("text").isNull().cast("string"), text)
+    return F.conv(F.substring(F.md5(said), 1 + 15 * part, 15), 16, 10).cast("long")
 
 
 def _turns(conversations: DataFrame, conv_col: str, turn_col: str, role_col: str, text_col: str) -> DataFrame:
     rows = conversations.select(F.col(conv_col).cast("long").alias("conv_id"), F.col(turn_col).cast("long").alias("turn"), F.col(role_col).alias("role"), F.col(text_col).alias("text"))
-    return rows.withColumns({"h1": _turn_hash(1), "h2": _turn_hash(2), "block": F.coalesce(F.floor(F.col("turn") / BLOCK), F.lit(-(1 << 62)))})
+    return rows.withColumns({"h1": _turn_hash(0), "h2": _turn_hash(1), "block": F.coalesce(F.floor(F.col("turn") / BLOCK), F.lit(-(1 << 62)))})
 
 
 def prefixes(turns: DataFrame) -> DataFrame:
@@ -56,8 +58,9 @@ def maximal(rolled: DataFrame) -> DataFrame:
     ends = rolled.groupBy("conv_id").agg(F.max(F.struct("position", "p1", "p2")).alias("end")).select("conv_id", "end.*")
     longer = rolled.join(ends.select(F.col("conv_id").alias("of_conv"), F.col("position").alias("n")), F.col("conv_id").eqNullSafe(F.col("of_conv")) & (F.col("position") < F.col("n")), "left_semi")
     begins = longer.select("position", "p1", "p2").distinct()
-    kept = ends.join(begins, ["position", "p1", "p2"], "left_anti")
-    return kept.groupBy("position", "p1", "p2").agg(F.min("conv_id").alias("conv_id")).select("conv_id", F.col("position").alias("n_turns"))
+    # equal conversations become one before they are dealt by their hash, however many there are
+    one = ends.groupBy("position", "p1", "p2").agg(F.min("conv_id").alias("conv_id"))
+    return one.join(begins, ["position", "p1", "p2"], "left_anti").select("conv_id", F.col("position").alias("n_turns"))
 
 
 def render(conversations: DataFrame, *, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", template: tuple[str, str, str] = TEMPLATE) -> DataFrame:
@@ -67,7 +70,7 @@ def render(conversations: DataFrame, *, conv_col: str = "conv_id", turn_col: str
 
     Defined results: rows that repeat conversation, turn, role and text are one turn; turns with the same number follow
     each other in the order of a hash, a null number comes first; a null role is rendered as "unknown", a null text as
-    empty; rows with a null conversation id are one conversation, which gives way to an equal one that has an id; texts
+    empty; a text that contains the template's marks is rendered as it is, so turns are told apart only where texts don't; rows with a null conversation id are one conversation, which gives way to an equal one that has an id; texts
     are never cut; an empty table gives no rows; other columns are not read.
     """
     turns = _turns(conversations, conv_col, turn_col, role_col, text_col)
@@ -83,13 +86,14 @@ def render(conversations: DataFrame, *, conv_col: str = "conv_id", turn_col: str
 
 
 def sql() -> str:
-    """DuckDB SQL for render() over conversations (ties of the turn number in the order of role and text)."""
+    """DuckDB SQL for render() over conversations."""
     return f"""
-WITH turns AS (
-  SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS position
-  FROM (SELECT DISTINCT conv_id, turn, role, text FROM conversations)
+WITH said AS (
+  SELECT *, md5(concat(role IS NULL, length(coalesce(role, '')), ':', role, text IS NULL, text)) AS hash FROM (SELECT DISTINCT conv_id, turn, role, text FROM conversations)
+), turns AS (
+  SELECT conv_id, role, text, hash, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, hash) AS position FROM said
 ), rolled AS (
-  SELECT *, string_agg(md5(concat(role IS NULL, length(coalesce(role, '')), ':', role, text IS NULL, text)), '') OVER (PARTITION BY conv_id ORDER BY position) AS prefix,
+  SELECT *, string_agg(hash, '') OVER (PARTITION BY conv_id ORDER BY position) AS prefix,
     count(*) OVER (PARTITION BY conv_id) AS n
   FROM turns
 ), kept AS (

@@ -61,7 +61,8 @@ def without_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     Defined results: null and empty texts, and without short texts with fewer than three lines that have a word, stay as they are; a
     text that is wholly repeated becomes empty (its row stays); lines without a word stay and count for no window; a null id comes
     before all others; rows with the same id are in the order of a hash of their texts, and rows that repeat id and text
-    are one document; white space around a line makes no difference to what is equal; an empty table gives no rows.
+    are one document; white space around a line makes no difference to what is equal; a window
+    that overlaps its own first occurrence is a later one all the same (of the lines a a a a b, a b is left); an empty table gives no rows.
     """
     extra = ["_marked_id", "_marked_hash", "_places", "_lines", "_numbers", "_gone"]
     while {c.lower() for c in docs.columns} & set(extra):

@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 
-from turnloom.plans import queries
+from turnloom.plans import decision_queries, queries  # noqa: F401
 
 
 @pytest.fixture(scope="module")
@@ -34,3 +34,25 @@ def test_every_part_is_a_candidate(spark, sf):
     parts = spark.read.parquet(f"{sf}/part.parquet").count()
     assert queries._candidates(spark, sf).count() == parts
     assert {r["candidate_id"] % 3 for r in queries.symbol_exact(spark, sf).collect()} == {0, 1, 2}
+    assert {r["matched_by"] for r in queries.symbol_exact(spark, sf).collect()} == {"name", "code", "bare_code"}
+
+
+def test_queries_find_something(spark, sf, duck):
+    for name, sql in queries.SQL.items():
+        assert duck.execute(f"SELECT count(*) FROM ({sql})").fetchone()[0] > 0, name
+
+
+def test_entry_without_the_training_part(monkeypatch):
+    import builtins
+
+    import __spark_entry__
+
+    real = builtins.__import__
+
+    def no_llm(name, *rest):
+        if name.startswith(("turnloom.llm", "corpus_pipeline")):
+            raise ImportError(name)
+        return real(name, *rest)
+
+    monkeypatch.setattr(builtins, "__import__", no_llm)
+    assert set(__spark_entry__.queries()) == set(queries.QUERIES) == set(__spark_entry__.oracle_sql())

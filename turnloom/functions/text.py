@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 #: Fixed values of the input format: how a speaker turn is labelled, and full-width digits and colon.
 SPEAKER = "发言人"
 FULL_WIDTH_DIGITS, DIGITS = "０１２３４５６７８９", "0123456789"
+#: Chinese digits and the year sign; units that may stand behind a number, a longer one before its beginning.
+HAN_DIGITS, YEAR = "〇一二三四五六七八九", "年"
+UNITS = "个百分点|个基点|个点|百分点|基点|％|%|‰|亿美元|万美元|美元|亿元|万元|千元|元|亿|万|倍|套|台|吨|家|股|个月|年|月|天"
 LABEL = SPEAKER + r"[0-9０-９]+[：:]"
 #: What separates parts in text; Spark's trim takes spaces only, so the ideographic space is named.
 BLANKS = " \t\n\r　"
@@ -28,6 +31,11 @@ def number_tokens(text: Column) -> Column:
     return F.regexp_extract_all(plain_digits(F.coalesce(text, F.lit(""))), F.lit(r"[0-9]+(?:\.[0-9]+)?%?"), F.lit(0))
 
 
+def quantities(text: Column) -> Column:
+    """The numbers of a text with the unit that stands directly behind each, as written."""
+    return F.regexp_extract_all(plain_digits(F.coalesce(text, F.lit(""))), F.lit(rf"[0-9]+(?:\.[0-9]+)?(?:{UNITS})?"), F.lit(0))
+
+
 def added_numbers(source: Column, edited: Column) -> Column:
     """Numbers of the edited text that its source does not have, sorted."""
     return F.array_sort(F.array_except(number_tokens(edited), number_tokens(source)))

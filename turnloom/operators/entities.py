@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -11,40 +11,48 @@ def relevant(candidates: DataFrame) -> DataFrame:
     return candidates.where("changes_text")
 
 
+def _named(catalog: DataFrame) -> DataFrame:
+    """name, n_codes, code: each name of the catalog once; the code is null where the name has none or several."""
+    found = catalog.where("name IS NOT NULL").groupBy("name").agg(F.count_distinct("code").alias("n_codes"), F.min("code").alias("least"))
+    return found.select("name", "n_codes", F.when(F.col("n_codes") == 1, F.col("least")).alias("code"))
+
+
 def exact_matches(candidates: DataFrame, catalog: DataFrame) -> DataFrame:
-    """candidate_id, name, code, matched_by: catalog entries with the candidate's surface as their name, or as their code without its suffix."""
-    left = candidates.select("candidate_id", "surface")
-    by_name = left.join(catalog, F.col("surface") == F.col("name")).select("candidate_id", "name", "code", F.lit("name").alias("matched_by"))
-    bare = F.substring_index(F.col("code"), ".", 1)
-    by_code = left.join(catalog.where("code IS NOT NULL"), F.col("surface") == bare).select("candidate_id", "name", "code", F.lit("code").alias("matched_by"))
-    return by_name.unionByName(by_code)
+    """candidate_id, name, code, n_codes, matched_by: catalog entries that have the candidate's surface as their name or code.
+
+    A name with several codes is one row with their number and no code: none of the rivals is preferred. A code matches
+    whole ("code") or without its suffix ("bare_code"). Surfaces meet entries once; candidates are joined back to them.
+    """
+    surfaces = candidates.where("surface IS NOT NULL").select("surface").distinct()
+    by_name = surfaces.join(_named(catalog), F.col("surface") == F.col("name")).select("surface", "name", "code", "n_codes", F.lit("name").alias("matched_by"))
+    codes = catalog.where("code IS NOT NULL").select("name", "code").distinct()
+    spelled = codes.select("*", F.col("code").alias("spelled"), F.lit("code").alias("matched_by")).unionByName(
+        codes.where(F.contains("code", F.lit("."))).select("*", F.substring_index("code", ".", 1).alias("spelled"), F.lit("bare_code").alias("matched_by"))
+    )
+    by_code = surfaces.join(spelled, F.col("surface") == F.col("spelled")).select("surface", "name", "code", F.lit(1).cast("long").alias("n_codes"), "matched_by")
+    return candidates.select("candidate_id", "surface").join(by_name.unionByName(by_code), "surface").select("candidate_id", "name", "code", "n_codes", "matched_by")
+
+
+def _deletions(text: Column, most: int) -> Column:
+    """The text and all that is left of it with up to that many characters deleted."""
+    found = F.array(text)
+    for _ in range(most):
+        shorter = F.transform(found, lambda t: F.when(F.length(t) > 0, F.transform(F.sequence(F.lit(1), F.length(t)), lambda k: F.concat(F.substring(t, F.lit(1), k - 1), F.substring(t, k + 1, F.length(t))))).otherwise(F.array().cast("array<string>")))
+        found = F.array_distinct(F.concat(found, F.flatten(shorter)))
+    return found
 
 
 def near_matches(candidates: DataFrame, catalog: DataFrame, distance: int = 1) -> DataFrame:
-    """candidate_id, name, code, distance: catalog names within an edit distance of the surface (not equal to it).
+    """candidate_id, name, code, n_codes, distance: catalog names within an edit distance of the surface (not equal to it).
 
-    Names within the distance share one of distance + 1 pieces of the surface, at most that far from its place; entries meet on such pieces
-    by equality and are verified. Names shorter than that many pieces are met by length alone. A near name proves nothing.
+    Two texts within the distance have a form in common that is left when up to so many characters are deleted from each.
+    Distinct surfaces and distinct names meet on such forms by equality and are verified; candidates are joined back
+    last. A near name proves nothing; one with several codes is one row without a code.
     """
-    pieces = distance + 1
-
-    def cut(name: str) -> list:
-        step = F.floor(F.length(name) / pieces).cast("int")
-        return [F.struct(F.lit(k).alias("piece"), F.length(name).alias("n"), F.substring(F.col(name), k * step + 1, F.when(F.lit(k) == pieces - 1, F.length(name) - k * step).otherwise(step)).alias("chars")) for k in range(pieces)]
-
-    # a catalog name is indexed by its pieces; a surface looks for them near their places, for each length it can have
-    index = catalog.where("name IS NOT NULL").select("name", "code", F.inline(F.array(*cut("name"))))
-    lengths = F.sequence(F.greatest(F.lit(0), F.length("surface") - distance), F.length("surface") + distance)
-    probes = candidates.where("surface IS NOT NULL").select("candidate_id", "surface", F.explode(lengths).alias("n"))
-    step = F.floor(F.col("n") / pieces).cast("int")
-    probes = probes.select("candidate_id", "surface", "n", F.explode(F.sequence(F.lit(0), F.lit(pieces - 1))).alias("piece"), step.alias("step"))
-    size = F.when(F.col("piece") == pieces - 1, F.col("n") - F.col("piece") * F.col("step")).otherwise(F.col("step"))
-    starts = F.filter(F.sequence(F.col("piece") * F.col("step") - distance, F.col("piece") * F.col("step") + distance), lambda s: (s >= 0) & (s + size <= F.length("surface")))
-    probes = probes.withColumn("size", size).select("candidate_id", "surface", "n", "piece", "size", F.explode(starts).alias("start"))
-    probes = probes.select("candidate_id", "surface", "n", "piece", F.substring(F.col("surface"), F.col("start") + 1, F.col("size")).alias("chars")).distinct()
-    apart = F.levenshtein("surface", "name")
-    met = probes.join(index, ["n", "piece", "chars"]).withColumn("distance", apart.cast("long")).where(F.col("distance").between(1, distance))
-    return met.select("candidate_id", "name", "code", "distance").distinct()
+    probes = candidates.where("surface IS NOT NULL").select("surface").distinct().select("surface", F.explode(_deletions(F.col("surface"), distance)).alias("left"))
+    index = catalog.where("name IS NOT NULL").select("name").distinct().select("name", F.explode(_deletions(F.col("name"), distance)).alias("left"))
+    met = probes.join(index, "left").select("surface", "name").distinct().withColumn("distance", F.levenshtein("surface", "name").cast("long")).where(F.col("distance").between(1, distance))
+    return candidates.select("candidate_id", "surface").join(met.join(_named(catalog), "name"), "surface").select("candidate_id", "name", "code", "n_codes", "distance")
 
 
 def readings(surfaces: DataFrame, char_reading: DataFrame) -> DataFrame:
@@ -100,23 +108,40 @@ def leaks(queries: DataFrame, persons: DataFrame, allowed: DataFrame) -> DataFra
     return unknown.select("query_id", "term").unionByName(named.select("query_id", "term")).distinct()
 
 
-#: What counts as an anchor in the meeting. A near name, a single public match, a business relation or a reading alone does not.
+#: What counts as evidence from the meeting, and which kinds together prove an identity. A near name, a single public
+#: match, a business relation or a reading alone does not.
 ANCHORS = ("code", "role", "repeated_name", "definition", "self_correction")
+PROOFS = (("name", "code", "role"), ("reading", "repeated_name"), ("definition",), ("self_correction",))
+
+
+def proven_forms(anchors: DataFrame) -> DataFrame:
+    """candidate_id, form, code (may be null), precedence: forms for which all kinds of one of the PROOFS are there.
+
+    anchors: candidate_id, kind, form, code, precedence, in_meeting. The kinds in ANCHORS count only from the meeting
+    itself; "name" and "reading" are matches of the whole name or its whole reading with a catalog. The precedence is the
+    highest one of an anchor that counts.
+    """
+    counts = F.when(F.col("kind").isin(*ANCHORS), F.coalesce("in_meeting", F.lit(False))).otherwise(F.lit(True))
+    kinds = F.collect_set(F.when(counts, F.col("kind"))).alias("kinds")
+    found = anchors.where("form IS NOT NULL").groupBy("candidate_id", "form").agg(kinds, F.max("code").alias("code"), F.max(F.when(counts, F.col("precedence"))).alias("precedence"))
+    proof = F.lit(False)
+    for needed in PROOFS:
+        proof = proof | (F.size(F.array_except(F.array(*[F.lit(k) for k in needed]), F.col("kinds"))) == 0)
+    return found.where(proof).select("candidate_id", "form", "code", "precedence")
 
 
 def unanchored(resolutions: DataFrame, anchors: DataFrame) -> DataFrame:
-    """candidate_id: identities that were resolved without an anchor from the meeting itself."""
-    proof = anchors.where(F.col("kind").isin(*ANCHORS)).select("candidate_id")
-    return resolutions.where(F.col("disposition") == "resolved_identity").join(proof, "candidate_id", "left_anti").select("candidate_id")
+    """candidate_id: identities that were resolved without a proof."""
+    return resolutions.where(F.col("disposition") == "resolved_identity").join(proven_forms(anchors), "candidate_id", "left_anti").select("candidate_id")
 
 
 def resolved(anchors: DataFrame, candidates: DataFrame) -> DataFrame:
-    """candidate_id, form, code (may be null): the form with the highest precedence, where no equal rival remains.
+    """candidate_id, form, code (may be null): the proven form with the highest precedence, where no equal rival remains.
 
-    anchors: candidate_id, kind, form, code, precedence. A correction in the meeting has precedence over a title. Two
-    forms with the highest precedence leave the candidate unresolved.
+    A correction in the meeting has precedence over a title. Two proven forms with the highest precedence leave the
+    candidate unresolved.
     """
-    proof = anchors.where(F.col("kind").isin(*ANCHORS))
-    best = proof.groupBy("candidate_id").agg(F.max("precedence").alias("best"))
-    top = proof.join(best, "candidate_id").where("precedence = best").groupBy("candidate_id").agg(F.collect_set("form").alias("forms"), F.max("code").alias("code"))
-    return top.where(F.size("forms") == 1).join(candidates.select("candidate_id"), "candidate_id").select("candidate_id", F.get("forms", F.lit(0)).alias("form"), "code")
+    proven = proven_forms(anchors)
+    best = proven.groupBy("candidate_id").agg(F.max("precedence").alias("best"))
+    top = proven.join(best, "candidate_id").where("precedence <=> best").groupBy("candidate_id").agg(F.count(F.lit(1)).alias("n"), F.min("form").alias("form"), F.max("code").alias("code"))
+    return top.where("n = 1").join(candidates.select("candidate_id"), "candidate_id").select("candidate_id", "form", "code")

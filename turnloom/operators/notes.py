@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Sections in their order, with the headings that this package writes.
+#: Fixed by the format: the sections in their order, with their titles. The layout below them is ours.
 SECTIONS = (("minutes", "会议纪要"), ("reference", "参考原文"), ("doubtful", "存疑与待确认"), ("changes", "重要信息修改记录"))
 ALWAYS = ("minutes", "reference")
 
@@ -26,6 +26,12 @@ def change_items(changes: DataFrame) -> DataFrame:
     return rows.select("meeting_id", F.lit("changes").alias("section"), F.col("turn_no").cast("long").alias("ord"), F.concat(F.lit("- "), F.col("old"), F.lit(" → "), F.col("new"), F.when(F.col("evidence").isNotNull(), F.concat(F.lit("（"), F.col("evidence"), F.lit("）"))).otherwise("")).alias("md"))
 
 
+def with_templates(meetings: DataFrame, templates: DataFrame) -> DataFrame:
+    """meetings with the template of their meeting_type (null for an unknown type, or none); templates: meeting_type, template."""
+    one = templates.groupBy("meeting_type").agg(F.min("template").alias("template"))
+    return meetings.join(one, "meeting_type", "left")
+
+
 def rendered(parts: DataFrame, headings: tuple[tuple[str, str], ...] = SECTIONS) -> DataFrame:
     """meeting_id, n_sections, md: one Markdown text per meeting from parts (meeting_id, section, ord, md).
 

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnloom.functions.text import LABEL, plain_digits, stripped
+from turnloom.session import map_arrow
 
 
 def parse_turns(meetings: DataFrame, *, id_col: str = "meeting_id", body_col: str = "body", label: str = LABEL) -> DataFrame:
@@ -43,13 +47,21 @@ def body_metrics(candidates: DataFrame, turns: DataFrame) -> DataFrame:
     """meeting_id, source_id, coverage, in_order: what a choice of body can be based on, for each candidate source.
 
     candidates: meeting_id, source_id, body; turns: meeting_id, turn_no, text (the reference order). coverage is the
-    share of turns found in the body, in_order whether those found appear in their order. The choice itself is made outside.
+    share of turns found in the body; in_order whether all of those are found one behind the other, each searched for
+    from the end of the one before, so that turns with the same text need a place each. The choice itself is made outside.
     """
     texts = turns.groupBy(F.col("meeting_id").alias("of_meeting")).agg(F.array_sort(F.collect_list(F.struct("turn_no", "text"))).alias("turns"))
     rows = candidates.join(texts, F.col("meeting_id") == F.col("of_meeting"))
-    places = F.transform("turns", lambda t: F.position(t["text"], F.col("body")))
-    found = F.filter(places, lambda p: p > 0)
-    return rows.select("meeting_id", "source_id", (F.size(found) / F.size("turns")).alias("coverage"), (found == F.array_sort(found)).alias("in_order"))
+    state = lambda begins, found, ordered: F.struct(begins.cast("int").alias("begins"), found.cast("int").alias("found"), ordered.alias("ordered"))
+
+    def step(done: Column, turn: Column) -> Column:
+        at = F.position(turn["text"], F.col("body"), done["begins"])
+        known = (at > 0) | (F.position(turn["text"], F.col("body")) > 0)
+        return F.when(at > 0, state(at + F.length(turn["text"]), done["found"] + 1, done["ordered"])).when(known, state(done["begins"], done["found"] + 1, F.lit(False))).otherwise(done)
+
+    walk = F.aggregate("turns", state(F.lit(1), F.lit(0), F.lit(True)), step).alias("walk")
+    rows = rows.select("meeting_id", "source_id", F.size("turns").alias("n"), walk)
+    return rows.select("meeting_id", "source_id", (F.col("walk.found") / F.col("n")).alias("coverage"), F.col("walk.ordered").alias("in_order"))
 
 
 def chosen_body(candidates: DataFrame, choices: DataFrame) -> DataFrame:
@@ -61,22 +73,35 @@ def pack_turns(turns: DataFrame, capacity: int, *, id_col: str = "meeting_id", t
     """meeting_id, turn_no, size, pack_no (from 1), used: runs of whole turns, each pack filled in order until the next does not fit.
 
     size: by default the code points of the column text. A turn larger than the capacity has a pack of its own. Linear,
-    in source order; no search for a better filling. Only two numbers per turn are gathered, one array for each meeting.
+    in source order; no search for a better filling. Meetings are sorted and walked through batch by batch: only one
+    pack's state is held, however long a meeting is.
     """
     size = F.coalesce(F.length("text"), F.lit(0)) if size is None else size
-    rows = turns.select(F.col(id_col).alias("meeting_id"), F.struct(F.col(turn_col).cast("long").alias("turn_no"), size.cast("long").alias("size")).alias("t"))
-    runs = rows.groupBy("meeting_id").agg(F.sort_array(F.collect_list("t")).alias("turns"))
-    done = "array<struct<turn_no: bigint, size: bigint, pack_no: bigint, used: bigint>>"
-    start = F.struct(F.array().cast(done).alias("done"), F.lit(0).cast("long").alias("pack_no"), F.lit(0).cast("long").alias("used"))
-
-    def step(state: Column, t: Column) -> Column:
-        fits = (state["pack_no"] > 0) & (state["used"] + t["size"] <= capacity)
-        pack = F.when(fits, state["pack_no"]).otherwise(state["pack_no"] + 1)
-        used = F.when(fits, state["used"] + t["size"]).otherwise(t["size"])
-        row = F.struct(t["turn_no"].alias("turn_no"), t["size"].alias("size"), pack.alias("pack_no"), used.alias("used"))
-        return F.struct(F.concat(state["done"], F.array(row)).alias("done"), pack.alias("pack_no"), used.alias("used"))
-
-    return runs.select("meeting_id", F.inline(F.aggregate("turns", start, step)["done"]))
+    rows = turns.select(F.col(id_col).alias("meeting_id"), F.col(turn_col).cast("long").alias("turn_no"), size.cast("long").alias("size"))
+    kind = rows.schema["meeting_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        meeting, pack, filled = object(), 0, 0
+        for batch in batches:
+            packs, used = [], []
+            for of, n in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                if of != meeting:
+                    meeting, pack, filled = of, 1, n
+                elif filled + n <= capacity:
+                    filled += n
+                else:
+                    pack, filled = pack + 1, n
+                packs.append(pack)
+                used.append(filled)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(packs, pa.int64()), pa.array(used, pa.int64())], names=["meeting_id", "turn_no", "size", "pack_no", "used"])
+
+    ordered = rows.repartition("meeting_id").sortWithinPartitions("meeting_id", "turn_no", "size")
+    return map_arrow(ordered, run, f"meeting_id {kind}, turn_no long, size long, pack_no long, used long")
+
+
+def long_packs(turns: DataFrame, routes: DataFrame, capacity: int) -> DataFrame:
+    """pack_turns of the meetings that were routed "segmented"; all others stay whole and have no packs."""
+    return pack_turns(turns.join(routes.where("route = 'segmented'").select("meeting_id").distinct(), "meeting_id", "left_semi"), capacity)
 
 
 def pack_summary(packs: DataFrame) -> DataFrame:

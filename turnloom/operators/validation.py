@@ -17,9 +17,13 @@ def utf8_check(files: DataFrame, require_cjk: bool = False) -> DataFrame:
 
 
 def structure_faults(notes: DataFrame, headings: tuple[tuple[str, str], ...] = SECTIONS, always: tuple[str, ...] = ALWAYS) -> DataFrame:
-    """meeting_id, fault, heading: missing, repeated, unknown and misplaced second-level headings of notes (meeting_id, md)."""
+    """meeting_id, fault, heading: missing, repeated, unknown and misplaced second-level headings of notes (meeting_id, md).
+
+    What stands between code fences (three backticks) is no heading; a fence without an end runs to the end of the note.
+    """
     titles = [t for _, t in headings]
-    found = notes.select("meeting_id", F.regexp_extract_all(F.coalesce("md", F.lit("")), F.lit(r"(?m)^##[ \t]+(.+?)[ \t]*$"), F.lit(1)).alias("found"))
+    bare = F.regexp_replace(F.coalesce("md", F.lit("")), r"(?s)(?:^|(?<=\n))```.*?(?:\n```[^\n]*|\z)", "")
+    found = notes.select("meeting_id", F.regexp_extract_all(bare, F.lit(r"(?m)^##[ \t]+(.+?)[ \t]*$"), F.lit(1)).alias("found"))
     known = F.array(*[F.lit(t) for t in titles])
     lacking = F.transform(F.array_except(F.array(*[F.lit(t) for n, t in headings if n in always]), "found"), lambda t: F.struct(F.lit("missing").alias("fault"), t.alias("heading")))
     unknown = F.transform(F.array_except("found", known), lambda t: F.struct(F.lit("unknown").alias("fault"), t.alias("heading")))
@@ -45,16 +49,26 @@ def score_density(cases: DataFrame, outputs: DataFrame) -> DataFrame:
     return rows.withColumn("passed", (F.size("minutes_missing") == 0) & (F.size("reference_missing") == 0) & (F.size("forbidden") == 0) & F.col("shorter") & ~F.col("copied"))
 
 
+#: Fixed by the cases' format: how an expected rendering begins that says what to keep instead of being the text.
+_INSTRUCTION = "^(参考原文|原样|同时)?保留"
+
+
 def score_doubtful(cases: DataFrame, outputs: DataFrame) -> DataFrame:
-    """id, disposition_ok, items_ok, rounds_ok, forbidden, passed: adjudication cases against outputs (id, disposition, rendering, doubtful_items, search_rounds).
+    """id, disposition_ok, items_ok, rounds_ok, rendering_ok, forbidden, passed: adjudication cases against outputs (id, disposition, rendering, doubtful_items, search_rounds).
 
-    Renderings are compared only for forbidden additions: many expected ones describe what to do.
+    A literal expected rendering must be in the output's. Where it says what to keep, the candidate's forms (parted by
+    " / ") that the source has must be there. What is missing from an output is not right.
     """
     rows = cases.join(outputs, "id")
     forbidden: Column = F.filter(present(F.col("rendering"), F.col("forbidden_additions")), lambda p: ~F.contains(F.col("source"), p))
-    rounds = F.col("search_rounds") <= F.coalesce("expected_external_search_rounds", F.lit(1))
-    rows = rows.select("id", (F.col("disposition") == F.col("expected_disposition")).alias("disposition_ok"), (F.col("doubtful_items") == F.col("expected_doubtful_items")).alias("items_ok"), F.coalesce(rounds, F.lit(True)).alias("rounds_ok"), forbidden.alias("forbidden"))
-    return rows.withColumn("passed", F.col("disposition_ok") & F.col("items_ok") & F.col("rounds_ok") & (F.size("forbidden") == 0))
+    kept = F.filter(F.split("candidate", " / "), lambda c: F.contains(F.col("source"), c))
+    right = F.when(F.col("expected_rendering").rlike(_INSTRUCTION), F.forall(kept, lambda c: F.contains(F.col("rendering"), c)) & (F.length("rendering") > 0)).otherwise(F.contains("rendering", "expected_rendering"))
+    no = F.lit(False)
+    rows = rows.select(
+        "id", F.coalesce(F.col("disposition") == F.col("expected_disposition"), no).alias("disposition_ok"), F.coalesce(F.col("doubtful_items") == F.col("expected_doubtful_items"), no).alias("items_ok"),
+        F.coalesce(F.col("search_rounds") <= F.coalesce("expected_external_search_rounds", F.lit(1)), no).alias("rounds_ok"), F.coalesce(right, no).alias("rendering_ok"), forbidden.alias("forbidden"),
+    )
+    return rows.withColumn("passed", F.col("disposition_ok") & F.col("items_ok") & F.col("rounds_ok") & F.col("rendering_ok") & (F.size("forbidden") == 0))
 
 
 def phrase_hits(texts: DataFrame, phrases: DataFrame, gram: int = 12) -> DataFrame:

@@ -21,8 +21,9 @@ SEARCH_RESULTS = "query string, round int, title string, url string, snippet str
 TEMPLATES = "meeting_type string, template string"
 _DOUBTFUL = "id: string, source: string, candidate: string, evidence: string, identity_evidence: string, expected_disposition: string, expected_rendering: string, expected_doubtful_items: int, expected_external_search_rounds: int, forbidden_additions: array<string>"
 _DENSITY = "id: string, source: string, expected_minutes_required: array<string>, expected_reference_required: array<string>, minutes_may_remove: array<string>, forbidden_additions: array<string>"
-#: Fixed by the format: the namespace of a DOCX body.
+#: Fixed by the format: the namespaces of a DOCX body.
 _WORD = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
+_FALLBACK = "{http://schemas.openxmlformats.org/markup-compatibility/2006}Fallback"
 
 
 def read_texts(spark: SparkSession, path: str) -> DataFrame:
@@ -32,14 +33,30 @@ def read_texts(spark: SparkSession, path: str) -> DataFrame:
 
 
 def docx_text(content: bytes) -> str | None:
-    """The paragraphs of a DOCX file, one per line; None if it is not one. Tabs and breaks inside a paragraph are kept."""
+    """The paragraphs of a DOCX file, one per line; None if it is not one. Tabs and breaks inside a paragraph are kept.
+
+    A paragraph inside another one (of a text box) is a line of its own behind it; alternatives for old readers, which
+    repeat a text box, are left out.
+    """
     try:
         with zipfile.ZipFile(io.BytesIO(content)) as z:
             root = ElementTree.fromstring(z.read("word/document.xml"))
     except (zipfile.BadZipFile, KeyError, ElementTree.ParseError):
         return None
     shown = {f"{_WORD}tab": "\t", f"{_WORD}br": "\n", f"{_WORD}cr": "\n"}
-    return "\n".join("".join(e.text or "" if e.tag == f"{_WORD}t" else shown.get(e.tag, "") for e in p.iter()) for p in root.iter(f"{_WORD}p"))
+    lines: list[list[str]] = []
+    todo: list[tuple[ElementTree.Element, int]] = [(root, -1)]
+    while todo:
+        e, line = todo.pop()
+        if e.tag == _FALLBACK:
+            continue
+        if e.tag == f"{_WORD}p":
+            line = len(lines)
+            lines.append([])
+        elif line >= 0:
+            lines[line].append(e.text or "" if e.tag == f"{_WORD}t" else shown.get(e.tag, ""))
+        todo += [(child, line) for child in reversed(e)]
+    return "\n".join(map("".join, lines))
 
 
 def read_docx(spark: SparkSession, path: str) -> DataFrame:

@@ -3,19 +3,25 @@
 from __future__ import annotations
 
 import json
-import re
 from pathlib import Path
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame
 
 
 def write_notes(notes: DataFrame, folder: str) -> int:
-    """Writes one Markdown file per meeting (meeting_id, md) from the driver, row by row; returns how many."""
+    """Writes one Markdown file per meeting (meeting_id, md) from the driver, row by row; returns how many.
+
+    Names are the ids with all but letters, digits, "_", "-" and "~" percent-encoded, so no two ids share a file; an id
+    that comes twice is an error.
+    """
     Path(folder).mkdir(parents=True, exist_ok=True)
-    n = 0
+    n, written = 0, set()
     for row in notes.select("meeting_id", "md").toLocalIterator():
-        name = re.sub(r"[^\w.-]+", "_", str(row["meeting_id"]))
-        Path(folder, f"{name}.md").write_text(row["md"], encoding="utf-8")
+        name = quote(str(row["meeting_id"]), safe="").replace(".", "%2E")
+        with Path(folder, f"{name}.md").open("x" if name in written else "w", encoding="utf-8") as f:
+            f.write(row["md"])
+        written.add(name)
         n += 1
     return n
 

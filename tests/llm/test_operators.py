@@ -345,7 +345,7 @@ def test_near_copies(spark, docs, plain, monkeypatch, common):
 def test_near_copies_of_one_family(spark, monkeypatch):
     """Many texts of one origin: more than one part per shingle, chains beyond the similarity of their ends, and pairs dealt to tasks."""
     monkeypatch.setattr(near_copies, "DEALT", 8)
-    monkeypatch.setattr(near_copies, "PAIRS_OF_NODE", 16)
+    monkeypatch.setattr(near_copies, "PAIRS", 16)
     rng = random.Random(12)
     base = [f"w{k}" for k in range(140)]
     rows = []

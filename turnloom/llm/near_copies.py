@@ -24,17 +24,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from turnloom.llm.shared import LOWER_ASCII, slices, stored
+from turnloom.llm.shared import LOWER_ASCII, discard, slices, stored, stored_at
 from turnloom.llm.simhash import components, first_of_each, links, text_hash
-from turnloom.session import map_arrow
+from turnloom.session import importable, map_arrow
 
 SHINGLE = 5
 #: Texts in the sample, and in how many of them a shingle must be to come last; both only bear on cost.
-SAMPLE, COMMON = 1 << 13, 4
+SAMPLE, COMMON = 1 << 14, 4
 #: Nodes that share a shingle are dealt to one task more for each so many texts of the sample that have it.
-DEALT = 32
-#: Pairs of one node from which on copies of its set go to several tasks.
-PAIRS_OF_NODE = 256
+DEALT = 64
+#: Pairs that are verified in one piece, about.
+PAIRS = 512
 #: Bits that mark the texts to verify; others that share a bit are hashed once more for nothing.
 MARKED = 1 << 26
 #: Odd multipliers, one for each place of a word in a shingle.
@@ -187,59 +187,73 @@ _OF_PART = "h = of_h AND salt = of_salt"
 
 
 def central_pairs(shared: DataFrame) -> DataFrame:
-    """a, b: each node with the centres of its prefix shingles, as far as they may be similar."""
+    """a, b, cell: each node with the centres (b) of its prefix shingles, as far as they may be similar."""
     enough = "9 * (n - at) >= 4 * (n + centre_n) AND 9 * (centre_n - centre_at) >= 4 * (n + centre_n)"
     met = shared.join(_centres(shared).hint("merge"), F.expr(f"{_OF_PART} AND node <> centre AND {enough}"))
-    return met.select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
+    return met.select(F.col("node").alias("a"), F.col("centre").alias("b"), F.col("centre").alias("cell")).distinct()
 
 
 def other_pairs(shared: DataFrame, rooted: DataFrame) -> DataFrame:
-    """a, b (a > b): pairs that share a prefix shingle and are in different components (node, root), as far as they may be similar.
+    """a, b (a > b), cell (a centre): pairs that share a prefix shingle and are in different components (node, root), as far as they may be similar.
 
     One of them is outside of the component of the shingle's centre. A pair whose first shared shingle stands at some
     place in each set has at most what is left from there in common.
     """
     of = rooted.select(F.col("node").alias("of_node"), F.col("root").alias("of_root"))
     placed = stored(shared.join(of, F.col("node") == F.col("of_node"), "left").withColumn("part_of", F.coalesce("of_root", "node")).drop("of_node", "of_root"), "placed")
-    centres = _centres(placed).join(of, F.col("centre") == F.col("of_node"), "left").select("of_h", "of_salt", F.coalesce("of_root", "centre").alias("main"))
+    centres = _centres(placed).join(of, F.col("centre") == F.col("of_node"), "left").select("of_h", "of_salt", "centre", F.coalesce("of_root", "centre").alias("main"))
     odd = placed.join(centres.hint("merge"), F.expr(_OF_PART)).where("part_of <> main").withColumn("of_salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
-    odd = stored(odd.select("of_h", "of_salt", F.col("node").alias("x"), F.col("n").alias("x_n"), F.col("at").alias("x_at"), F.col("part_of").alias("x_part")), "odd")
+    odd = stored(odd.select("of_h", "of_salt", "centre", F.col("node").alias("x"), F.col("n").alias("x_n"), F.col("at").alias("x_at"), F.col("part_of").alias("x_part")), "odd")
     enough = "part_of <> x_part AND 9 * (n - at) >= 4 * (n + x_n) AND 9 * (x_n - x_at) >= 4 * (n + x_n)"
     met = placed.join(odd.hint("merge"), F.expr(f"{_OF_PART} AND {enough}"))
-    return met.select(F.greatest("node", "x").alias("a"), F.least("node", "x").alias("b")).distinct()
+    return met.groupBy(F.greatest("node", "x").alias("a"), F.least("node", "x").alias("b")).agg(F.min("centre").alias("cell"))
 
 
 def simhash_pairs(nodes: DataFrame) -> DataFrame:
-    """a, b: nodes (node, fp) with equal fingerprints or such as SimHash links, by one node of each fingerprint."""
+    """a, b, cell: nodes (node, fp) with equal fingerprints or such as SimHash links, by one node of each fingerprint."""
     first = nodes.groupBy("fp").agg(F.min("node").alias("first"))
     equal = nodes.join(first, "fp").where("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b"))
     of = lambda side: first.select(F.col("fp").alias(f"{side}_fp"), F.col("first").alias(side))
     near = links(first.select("fp")).select(F.col("a").alias("a_fp"), F.col("b").alias("b_fp"))
-    return equal.unionByName(near.join(of("a"), "a_fp").join(of("b"), "b_fp").select("a", "b"))
+    return equal.unionByName(near.join(of("a"), "a_fp").join(of("b"), "b_fp").select("a", "b")).withColumn("cell", F.col("b"))
 
 
-def _with_set(pairs: DataFrame, whole: DataFrame, side: str) -> DataFrame:
-    """pairs (a_key, b_key, ...) with the set of one side; the pairs of a text that has very many are dealt to several tasks."""
-    counts = pairs.groupBy(F.col(f"{side}_key").alias("key")).agg((1 + F.floor(F.count(F.lit(1)) / PAIRS_OF_NODE)).cast("int").alias("parts"))
-    parts = stored(counts.where("parts > 1"), "parts")
-    dealt = whole.join(parts, "key", "left").select(F.col("key").alias(f"{side}_key"), F.col("shingles").alias(f"of_{side}"), F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part"))
-    rows = pairs.join(parts.withColumnRenamed("key", f"{side}_key"), f"{side}_key", "left")
-    part = F.coalesce(F.pmod(F.xxhash64("a", "b"), F.col("parts")), F.lit(0)).cast("int")
-    return rows.withColumn("part", part).drop("parts").join(dealt.hint("merge"), [f"{side}_key", "part"]).drop("part")
+def _overlapping(pairs: pa.Table, sets_of: pa.Table) -> pa.Table:
+    """The pairs (a, b) of keys whose sets have a similarity of at least 4/5."""
+    lists = sets_of.column("shingles").combine_chunks()
+    ends, values = lists.offsets.to_numpy(), lists.values.to_numpy()
+    own = {key: values[ends[k] : ends[k + 1]] for k, key in enumerate(sets_of.column("key").to_pylist())}
+    keep = []
+    for a, b in zip(pairs.column("a_key").to_pylist(), pairs.column("b_key").to_pylist(), strict=True):
+        x, y = own[a], own[b]
+        keep.append(9 * len(np.intersect1d(x, y, assume_unique=True)) >= 4 * (len(x) + len(y)))
+    return pairs.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
 def similar(pairs: DataFrame, found: DataFrame, docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The pairs (a, b) of nodes whose whole sets have a similarity of at least 4/5; found: as of features()."""
+    """The pairs (a, b) of nodes whose whole sets have a similarity of at least 4/5, stored; found: as of features().
+
+    Pairs meet their sets in cells: a set moves once to each cell with pairs of its node, not once for each pair. Cells with
+    many pairs are dealt to parts of about PAIRS pairs, so that a task never holds more than the sets of one part.
+    """
+    spark, options = pairs.sparkSession, {"id_col": id_col, "text_col": text_col}
     nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     one = found.join(nodes, "node", "left_semi").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "text_hash")).alias("first"))
     key = lambda i, text: F.xxhash64(i, text)
     one = stored(one.select("node", key("first.doc_id", "first.text_hash").alias("key")), "to-verify")
-    texts = docs.select(key(F.col(id_col).cast("long"), text_hash(text_col)).alias("key"), F.col(text_col).alias("text"))
-    whole = stored(sets(texts, _bits(one)), "shingle-sets")
+    texts = docs.select(key(F.col(options["id_col"]).cast("long"), text_hash(options["text_col"])).alias("key"), F.col(options["text_col"]).alias("text"))
+    whole, path = stored_at(sets(texts, _bits(one)), "shingle-sets")
     of = lambda side: one.select(F.col("node").alias(side), F.col("key").alias(f"{side}_key"))
-    keyed = stored(pairs.join(of("a"), "a").join(of("b"), "b"), "keyed-pairs")
-    both = F.size(F.array_intersect("of_a", "of_b"))
-    return _with_set(_with_set(keyed, whole, "a"), whole, "b").where(9 * both >= 4 * (F.size("of_a") + F.size("of_b"))).select("a", "b").distinct()
+    parts = pairs.groupBy("cell").agg((1 + F.floor(F.count(F.lit(1)) / PAIRS)).cast("int").alias("parts")).where("parts > 1")
+    dealt = pairs.join(parts, "cell", "left").withColumn("part", F.coalesce(F.pmod(F.xxhash64("a"), F.col("parts")), F.lit(0)).cast("int"))
+    dealt = stored(dealt.join(of("a"), "a").join(of("b"), "b").select("cell", "part", "a", "b", "a_key", "b_key"), "dealt-pairs")
+    needed = dealt.select(F.col("cell").alias("of_cell"), F.col("part").alias("of_part"), F.explode(F.array("a_key", "b_key")).alias("key")).distinct()
+    needed = needed.join(whole.dropDuplicates(["key"]), "key").select("of_cell", "of_part", "key", "shingles")
+    importable(spark)
+    met = dealt.groupBy("cell", "part").cogroup(needed.groupBy("of_cell", "of_part")).applyInArrow(_overlapping, "a long, b long")
+    kept = stored(met.distinct(), "links")
+    discard(spark, path)
+    return kept
 
 
 def groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -248,8 +262,9 @@ def groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -
     found = stored(features(docs, **options), "features")
     shared = stored(members(found), "shared-shingles")
     nodes = stored(found.groupBy("node").agg(F.min("fp").alias("fp")), "nodes")
-    first = stored(simhash_pairs(nodes).unionByName(central_pairs(shared)).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "first-pairs")
-    linked = stored(similar(first, found, docs, **options), "first-links")
+    both = simhash_pairs(nodes).unionByName(central_pairs(shared))
+    first = stored(both.groupBy(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).agg(F.min("cell").alias("cell")), "first-pairs")
+    linked = similar(first, found, docs, **options)
     rooted = components(linked)
     others = stored(other_pairs(shared, rooted).join(first, ["a", "b"], "left_anti"), "other-pairs")
     if others.head(1):  # components of the links found so far and of those that are new

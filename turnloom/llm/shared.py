@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -11,6 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from turnloom.session import shared_folder
+
 #: Fixed by the operators' contract: what separates words (space and x09 to x0D).
 WHITE_SPACE = " \t\n\x0b\x0c\r"
 WHITE_SPACE_RUN = r"[\x20\x09-\x0D]+"
@@ -19,8 +20,6 @@ WORD_CHARACTER = r"[^\x20\x09-\x0D]"
 #: bytes.translate table that lower-cases A-Z and nothing else.
 LOWER_ASCII = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
-_own_folders: dict[str, str] = {}
-
 
 def words(text: Column) -> Column:
     """The words of a text as an array; none for a null or blank text."""
@@ -37,27 +36,9 @@ def held(column: Column) -> Column:
     return F.when(F.monotonically_increasing_id() >= 0, column)
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder of this application in the one that driver and executors share, spark.checkpoint.dir.
-
-    Where that is unset, a local master gets a temporary folder of its own; any other is an error, for executors could
-    not read each other's files.
-    """
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        if context.applicationId not in _own_folders:
-            _own_folders[context.applicationId] = f"file://{tempfile.mkdtemp(prefix='turnloom-')}"
-        folder = _own_folders[context.applicationId]
-    return f"{folder.rstrip('/')}/turnloom/{context.applicationId}"
-
-
-def discard(spark: SparkSession) -> None:
-    """Deletes all intermediate tables of this application; results that still read them can't be used any more."""
-    jvm, path = spark._jvm, shared_folder(spark)
-    folder = jvm.org.apache.hadoop.fs.Path(path)
+def discard(spark: SparkSession, path: str | None = None) -> None:
+    """Deletes all intermediate tables of this application, or one of them; results that still read them can't be used any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path or shared_folder(spark))
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
@@ -67,9 +48,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     This cuts the lineage and survives lost executors, and what is expensive or not repeatable (Python passes,
     generated row ids) is done once. The tables belong to the application; discard() deletes them.
     """
+    return stored_at(df, name)[0]
+
+
+def stored_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """As stored(), and where the table is, for one that is discarded as soon as what was made of it is stored itself."""
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
 def portions(column: pa.Array, chars: int = 1 << 20) -> Iterator[list[str]]:

@@ -231,6 +231,22 @@ def test_differencing():
     assert packing.balanced([1000, 1000, 100], 1024).max() == 2  # two windows would do for the sum, not for the pieces
 
 
+def test_encoder_of_merges_out_of_order(tmp_path):
+    import json
+
+    from tokenizers import Tokenizer
+
+    spec = json.loads(open(BYTE_BPE, encoding="utf-8").read())
+    merges = spec["model"]["merges"]
+    merges[:200] = merges[199::-1]
+    path = str(tmp_path / "other.json")
+    open(path, "w", encoding="utf-8").write(json.dumps(spec))
+    encode, library = packing.Encoder(path), Tokenizer.from_file(path)
+    texts = ["the other there is in an anthem", "then  again\n\nthey"]
+    assert not encode.in_order and packing.encoder(BYTE_BPE).in_order
+    assert [x.tolist() for x in encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_encoder_equals_library():
     from tokenizers import Tokenizer
 
@@ -557,7 +573,9 @@ def test_pieces(docs, plain):
         ids = [*library.encode(t or ""), library.eos_id()]
         expected.append((i, len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(library.decode(ids).encode()).hexdigest()))
     assert got(pieces.encode(docs, PIECES, digests=True)) == sorted(expected, key=str)
+    assert pieces.encode(docs.limit(0), PIECES).count() == 0
     encoded = pieces.encode(docs, PIECES)
+    assert pieces.decode(encoded.limit(0), PIECES).count() == 0 and got(pieces.decode(encoded.select(F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("array<int>").alias("ids"), F.lit(1).alias("decoded")).limit(1), PIECES)) == [(None, "")]
     assert got(pieces.decode(encoded, PIECES)) == got(encoded, "doc_id", "decoded")
 
 
@@ -815,6 +833,26 @@ def test_registered_queries_have_sql_that_agrees(spark, sf):
     assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{k}" for k in range(1, 11)]
 
 
+@pytest.mark.parametrize("rows", ["all", "none"])
+def test_pipeline_of_odd_documents(spark, docs, rows):
+    import corpus_pipeline
+    from turnloom.llm.shared import stored
+
+    long = " ".join(f"word{k % 977}" for k in range(60_000))
+    extra = [(i, t, 0, "x", "y", 3) for i, t in [(900, long), (901, long), (None, long + " end"), (902, long.replace("word3 ", "other "))]]
+    table = docs.unionAll(spark.createDataFrame(extra, docs.schema))
+    table = table if rows == "all" else table.limit(0)
+    assert corpus_pipeline.STAGES[0][1](spark, table, "").columns == docs.columns  # keeps few of these
+    kept = table
+    for name, stage in corpus_pipeline.STAGES[1:-1]:
+        kept = stored(stage(spark, kept, ""), name.replace(" ", "-"))
+        assert kept.columns == docs.columns
+    assert len(kept.collect()) == kept.dropDuplicates(["doc_id", "text"]).count() <= table.count()
+    packed = [tuple(r) for r in corpus_pipeline.STAGES[-1][1](spark, kept, "").collect()]
+    sequences(packed)
+    assert {r[0] for r in packed} == {r["doc_id"] for r in kept.collect()} and (rows == "all") == bool(packed)
+
+
 def test_pipeline(spark, sf):
     import corpus_pipeline
     from turnloom.llm.shared import stored

@@ -51,7 +51,8 @@ class Encoder:
     The pre-tokenizer never joins a character to white space behind it, so a text can be cut before each run of white
     space and each distinct chunk encoded once; a bounded table keeps the ids of chunks. Chunks go through tiktoken
     with the ranks of the same file. A text with the string of an added token (which the library takes for that token)
-    goes through the library itself, one with uncommon white space through tiktoken whole.
+    goes through the library itself, one with uncommon white space through tiktoken whole. Ranks stand for the file's
+    merges only if those are in the order of their ids; for a file where they are not, all texts go through the library.
     """
 
     #: Fixed by the byte-level pre-tokenizer: how it splits a text.
@@ -72,6 +73,8 @@ class Encoder:
         byte = _byte_of_symbol()
         ranks = {bytes(byte[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in self.added}
         self.fast = tiktoken.Encoding("byte-level", pat_str=self.SPLIT, mergeable_ranks=ranks, special_tokens={})
+        merged = [ranks.get(bytes(byte[c] for c in ("".join(m) if isinstance(m, list) else m.replace(" ", "", 1))), -1) for m in spec["model"]["merges"]]
+        self.in_order = all(a < b for a, b in zip([-1, *merged], merged, strict=False))
         self.spaced = np.zeros(max(ranks.values()) + 1, dtype=bool)
         self.spaced[[i for token, i in ranks.items() if token[:1] == b" "]] = True
         self.table: dict[str, bytes] = {}
@@ -101,13 +104,13 @@ class Encoder:
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text as unsigned 32-bit integers."""
-        whole = [any(token in text for token in self.added) or self.UNCOMMON.search(text) is not None for text in texts]
+        whole = [not self.in_order or any(token in text for token in self.added) or self.UNCOMMON.search(text) is not None for text in texts]
         cut = [None if odd else self.CHUNK.findall(text) for text, odd in zip(texts, whole, strict=True)]
         self._fill(set().union(*(c for c in cut if c)))
         return [self._whole(text) if c is None else np.frombuffer(b"".join(map(self.table.__getitem__, c)), dtype=np.uint32) for text, c in zip(texts, cut, strict=True)]
 
     def _whole(self, text: str) -> np.ndarray:
-        if any(token in text for token in self.added):
+        if not self.in_order or any(token in text for token in self.added):
             return np.array(self.exact.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
         return np.array(self.fast.encode_ordinary(text), dtype=np.uint32)
 

@@ -2,6 +2,10 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all that the stage before kept. All but the last return the columns of
 documents.
+
+Defined results: a null, empty or very short text fails the quality rules and goes; whole texts count, however long; null
+ids stay null and come first where order matters; rows that repeat id and text are one document from near-dedup on;
+columns beside doc_id, text and n_chars stay as they are, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -27,7 +31,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: an exact Jaccard similarity of five-word shingles of at least 0.8."""
+    """One document of each group of near duplicates: SimHash links and what lies beyond their radius, an exact Jaccard similarity of five-word shingles of at least 0.8."""
     return near_copies.one_of_each(docs)
 
 

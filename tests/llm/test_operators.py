@@ -541,12 +541,12 @@ def test_scores_equal_brute_force(spark, sf, depth):
 
 def test_tree_is_a_distribution_and_beats_the_base(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
-    tree, counts = suffix_tree.learn(docs.select("text", (~suffix_tree.held_out()).alias("learn")))
+    tree, counts, _ = suffix_tree.learn(docs.select("doc_id", "text", (~suffix_tree.held_out()).alias("learn")))
     everything = {r["token"]: r["n"] for r in counts.collect()}
     root = sum((n - tree.discount) / tree.total for n in everything.values() if n) + 10**tree.log_unknown
     assert abs(root - 1) < 1e-9
     h = len(tree.keys)
-    rare = sum((n - tree.discount) / tree.total for t, n in everything.items() if n and suffix_tree._key(t.encode()) not in tree.index) + 10**tree.log_unknown
+    rare = sum((n - tree.discount) / tree.total for t, n in everything.items() if n and suffix_tree._key(t.encode()) not in set(tree.keys)) + 10**tree.log_unknown
     known = np.flatnonzero(tree.counts > 0)
     words = [(int(c),) for c in tree.levels[0].contexts]
     for depth, level in enumerate(tree.levels, 1):

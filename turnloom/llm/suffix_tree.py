@@ -14,12 +14,13 @@ least a fixed part of the square root of the number of training tokens. So there
 corpus, and is at most SPREAD times that square root in each of its tables (30 GB of text, 5e9 tokens: 4.5 million
 rows of 16 bytes; a table above MOST_BYTES raises an error). All other tokens are joined to the corpus counts by a
 shuffle on the token; each of them occurs less often than that in all documents, held-out ones included, so none of
-them makes a task large. Contexts are coded by their place in the level above and their last token, at any depth.
+them makes a task large. Texts are split into tokens twice: to count them, and to store them as numbers for all that follows. Contexts are coded by their place in the level above and their last token, at any depth.
 """
 
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -109,8 +110,7 @@ class Tree:
     levels: list[Level] = field(default_factory=list)
 
     def __post_init__(self):
-        self.index = {k: i for i, k in enumerate(self.keys)}
-        self.end = self.index.get(END.encode(), -1)
+        self.end = self.keys.index(END.encode()) if END.encode() in self.keys else -1
         root = np.maximum(self.counts - self.discount, 1e-300) / max(self.total, 1)
         self.log_root = np.where(self.counts > 0, np.log10(root), self.log_unknown) if len(self.keys) else np.zeros(0)
 
@@ -118,17 +118,6 @@ class Tree:
     def log_unknown(self) -> float:
         return float(np.log10(self.discount * self.distinct / self.total)) if self.total else 0.0
 
-    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[list[bytes]]]:
-        """Ids of all tokens of the texts (-1: not frequent), where each text ends, and the texts' words."""
-        get, words, ids, ends, n = self.index.get, [], [], [], 0
-        for text in texts:
-            own = _tokens(text)
-            words.append(own)
-            ids.append(np.array([get(w if len(w) <= LONGEST else _key(w), -1) for w in own] + [self.end], dtype=np.int64))
-            n += len(own) + 1
-            ends.append(n)
-        return np.concatenate(ids) if ids else np.zeros(0, dtype=np.int64), np.array(ends, dtype=np.int64), words
-
     def places(self, ids: np.ndarray, ends: np.ndarray, candidates: np.ndarray | None = None) -> Iterator[np.ndarray]:
         """For each depth, the place of the context that precedes each token; -1 where that is none of the level.
 
@@ -158,26 +147,71 @@ class Tree:
         return score
 
 
-def _next_counts(texts: DataFrame, tree: Tree, candidates: np.ndarray, least: int) -> list:
+class _Index(dict):
+    """The ids of frequent tokens; -1 for others."""
+
+    def __missing__(self, token: bytes) -> int:
+        return self.get(_key(token), -1) if len(token) > LONGEST else -1
+
+
+def encode(texts: DataFrame, tree: Tree) -> DataFrame:
+    """row, doc_id, learn, ids (of all tokens with the end; -1: not frequent), rare (those tokens, how often) for each of the texts (doc_id, text, learn)."""
+    keys = texts.sparkSession.sparkContext.broadcast((tree.keys, tree.end))
+    rare = pa.list_(pa.struct([("token", pa.string()), ("times", pa.int32())]))
+    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("learn", pa.bool_()), ("ids", pa.list_(pa.int32())), ("rare", rare)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens, end = keys.value
+        index, row = _Index((k, i) for i, k in enumerate(tokens)), TaskContext.get().partitionId() << 40
+        for batch in (part for whole in batches for part in slices(whole, 1)):
+            ids, ends, others = array("i"), [0], []
+            for text in batch.column(1):
+                own = _tokens(text)
+                found = list(map(index.__getitem__, own))
+                seen = Counter(w for w, i in zip(own, found, strict=True) if i < 0)
+                if end < 0:
+                    seen[END.encode()] += 1
+                others.append([{"token": t.decode(), "times": c} for t, c in seen.items()])
+                found.append(end)
+                ids.extend(found)
+                ends.append(len(ids))
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(ids, dtype=np.int32)))
+            yield pa.record_batch([pa.array(np.arange(row, row + batch.num_rows), pa.int64()), batch.column(0), batch.column(2), lists, pa.array(others, rare)], schema=schema)
+            row += batch.num_rows
+
+    return map_arrow(texts.select("doc_id", "text", "learn"), run, "row long, doc_id long, learn boolean, ids array<int>, rare array<struct<token string, times int>>")
+
+
+def _portions(batch: pa.RecordBatch, lists: int, tokens: int = 1 << 19) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """The batch in slices of about as many tokens, with the ids of each and where each row's end."""
+    ends = batch.column(lists).offsets.to_numpy().astype(np.int64)
+    values = batch.column(lists).values.to_numpy()
+    start = 0
+    while start < batch.num_rows:
+        stop = max(start + 1, int(np.searchsorted(ends, ends[start] + tokens, side="right")) - 1)
+        yield batch.slice(start, stop - start), values[ends[start] : ends[stop]].astype(np.int64), ends[start + 1 : stop + 1] - ends[start]
+        start = stop
+
+
+def _next_counts(training: DataFrame, tree: Tree, candidates: np.ndarray, least: int) -> list:
     """Rows (place of the context * number of tokens + token, n): how often frequent tokens follow the candidates, if at least ``least`` times."""
-    shared = texts.sparkSession.sparkContext.broadcast((tree, candidates))
+    shared = training.sparkSession.sparkContext.broadcast((tree, candidates))
     schema = pa.schema([("code", pa.int64()), ("n", pa.int64())])
     h = len(tree.keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, contexts = shared.value
-        for batch in (part for whole in batches for part in slices(whole, 0, 8 << 20)):
-            ids, ends, _ = model.ids(batch.column(0))
+        for _, ids, ends in (part for batch in batches for part in _portions(batch, 0, 1 << 20)):
             *_, place = model.places(ids, ends, contexts)
             codes, n = np.unique((place * h + ids)[(place >= 0) & (ids >= 0)], return_counts=True)
             yield pa.record_batch([pa.array(codes, pa.int64()), pa.array(n, pa.int64())], schema=schema)
 
-    counts = map_arrow(texts.select("text"), run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    counts = map_arrow(training.select("ids"), run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
     return counts.where(F.col("n") >= least).collect()
 
 
-def learn(texts: DataFrame, *, depth: int = DEPTH) -> tuple[Tree, DataFrame]:
-    """The tree of the texts (text, learn) to learn from, and the stored table of all token counts (token, n, every)."""
+def learn(texts: DataFrame, *, depth: int = DEPTH) -> tuple[Tree, DataFrame, DataFrame]:
+    """The tree of the texts (doc_id, text, learn) to learn from, and stored: all token counts (token, n, every), and the texts as of encode()."""
     counts = stored(count_tokens(texts), "token-counts")
     row = counts.where("n > 0").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("distinct"), F.sum((F.col("n") == 1).cast("long")).alias("once"), F.sum((F.col("n") == 2).cast("long")).alias("twice")).first()
     total = row["total"] or 0
@@ -188,7 +222,8 @@ def learn(texts: DataFrame, *, depth: int = DEPTH) -> tuple[Tree, DataFrame]:
     rows = sorted((bytes(r["key"]), r["n"]) for r in counts.where(F.col("every") >= least).select(key.alias("key"), "n").collect())
     _fits(rows)
     tree = Tree(total, row["distinct"], discount, [k for k, _ in rows], np.array([n for _, n in rows], dtype=np.float64))
-    h, training = len(tree.keys), texts.where("learn")
+    encoded = stored(encode(texts, tree), "token-ids")
+    h, training = len(tree.keys), encoded.where("learn")
     candidates = np.flatnonzero((tree.counts >= of_context_least) & (np.arange(h) != tree.end)).astype(np.int64)
     words, of_context = candidates[:, None], tree.counts[candidates]
     for _ in range(depth):
@@ -207,7 +242,7 @@ def learn(texts: DataFrame, *, depth: int = DEPTH) -> tuple[Tree, DataFrame]:
         longer = (n >= of_context_least) & (token != tree.end)
         candidates, of_context = codes[longer], n[longer]
         words = np.concatenate([words[place[longer]], token[longer][:, None]], axis=1)
-    return tree, counts
+    return tree, counts, encoded
 
 
 def _fits(rows: list) -> None:
@@ -243,44 +278,30 @@ def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", de
     and has probability one; an empty table gives no rows; other columns are not read.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    tree, counts = learn(rows.select("text", (~held_out()).alias("learn")), depth=depth)
+    tree, counts, encoded = learn(rows.withColumn("learn", ~held_out()), depth=depth)
     shared = docs.sparkSession.sparkContext.broadcast(tree)
     log_total = float(np.log10(tree.total + tree.distinct + 1))
-    rare = pa.list_(pa.struct([("token", pa.string()), ("times", pa.int32())]))
-    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("tree", pa.float64()), ("rare", rare)])
+    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("tree", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        row = TaskContext.get().partitionId() << 40
         log_count = np.append(np.log10(model.counts + 1), 0.0)  # the last: tokens that aren't frequent, for now
         known = np.append(model.counts > 0, False).astype(np.int64)
-        for batch in (part for whole in batches for part in slices(whole, 1)):
-            ids, ends, words = model.ids(batch.column(1))
+        for part, ids, ends in (part for batch in batches for part in _portions(batch, 2)):
             begins = np.concatenate([[0], ends[:-1]])
-            others = []
-            for own, a in zip(words, begins.tolist(), strict=True):
-                seen = Counter(own[k] for k in np.flatnonzero(ids[a : a + len(own)] < 0).tolist())
-                if model.end < 0:
-                    seen[END.encode()] += 1
-                others.append([{"token": t.decode(), "times": c} for t, c in seen.items()])
-            yield pa.record_batch([
-                pa.array(np.arange(row, row + batch.num_rows), pa.int64()), batch.column(0), pa.array(np.diff(ends, prepend=0), pa.int64()),
-                pa.array(np.add.reduceat(known[ids], begins), pa.int64()), pa.array(np.add.reduceat(log_count[ids], begins), pa.float64()),
-                pa.array(np.add.reduceat(model.log_score(ids, ends), begins), pa.float64()), pa.array(others, rare),
-            ], schema=schema)
-            row += batch.num_rows
+            sums = [np.add.reduceat(x, begins) for x in (known[ids], log_count[ids], model.log_score(ids, ends))]
+            yield pa.record_batch([part.column(0), part.column(1), pa.array(np.diff(ends, prepend=0), pa.int64()), *(pa.array(x, f.type) for x, f in zip(sums, list(schema)[3:], strict=True))], schema=schema)
 
-    kinds = "row long, doc_id long, n_tokens long, known long, base double, tree double, rare array<struct<token string, times int>>"
-    found = stored(map_arrow(rows, run, kinds), "scores")
+    found = map_arrow(encoded.select("row", "doc_id", "ids"), run, "row long, doc_id long, n_tokens long, known long, base double, tree double")
     total = float(max(tree.total, 1))
     root = F.when(F.col("n") > 0, F.log10((F.col("n") - tree.discount) / total)).otherwise(F.lit(tree.log_unknown))
-    others = found.select("row", F.inline("rare")).join(counts.select("token", "n"), "token", "left").groupBy("row").agg(
+    others = encoded.select("row", F.inline("rare")).join(counts.select("token", "n"), "token", "left").groupBy("row").agg(
         F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("rare_known"),
         F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 1.0)).alias("rare_base"),
         F.sum(F.col("times") * root).alias("rare_tree"),
     )
     zero = lambda name: F.coalesce(name, F.lit(0))
-    return found.drop("rare").join(others, "row", "left").select(
+    return found.join(others, "row", "left").select(
         "doc_id", held_out().alias("held_out"), "n_tokens", (F.col("known") + zero("rare_known")).alias("n_known"), F.lit(tree.total).cast("long").alias("train_tokens"),
         (F.col("base") + zero("rare_base") - F.col("n_tokens") * log_total).alias("base_score"), (F.col("tree") + zero("rare_tree")).alias("score"),
     )

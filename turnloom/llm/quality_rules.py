@@ -159,3 +159,42 @@ def kept(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
     """The documents that judged() keeps, all columns as they were."""
     found = judged(docs, text_col=text_col)
     return found.where(F.col(found.columns[-1])["kept"]).select(*docs.columns)
+
+
+def sql(rules: dict[str, tuple[str, str]] = RULES, rounds: int = ROUNDS, threshold: float = THRESHOLD) -> str:
+    """DuckDB SQL for doc_id, the first five of MEASURES, base_failed and kept over documents; the fit is a recursive query."""
+    many = range(1, len(rules) + 1)
+    word = r"[^\x20\x09-\x0D]+"
+    bounded = lambda x: f"greatest({LEAST}, least({MOST}, {x}))"
+    good = " * ".join(f"CASE votes[{j}] WHEN 1 THEN good[{j}] WHEN -1 THEN 1 - good[{j}] ELSE 1 END" for j in many)
+    bad = " * ".join(f"CASE votes[{j}] WHEN 1 THEN 1 - bad[{j}] WHEN -1 THEN bad[{j}] ELSE 1 END" for j in many)
+    share = lambda vote, mass, j, start: bounded(f"(sum(CASE WHEN votes[{j}] = {vote} THEN {mass} ELSE 0 END) + {SMOOTHING * start}) / (sum(CASE WHEN votes[{j}] <> 0 THEN {mass} ELSE 0 END) + {SMOOTHING})")
+    moved = ", ".join(["abs(prior - was)", *(f"abs(good[{j}] - old_good[{j}]), abs(bad[{j}] - old_bad[{j}])" for j in many)])
+    return f"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, coalesce(text, '') AS body, regexp_extract_all(coalesce(text, ''), '{word}') AS words, list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '{word}')) AS lines FROM documents
+), windows AS (
+  SELECT doc_id, i, concat(words[i], ' ', words[i + 1], ' ', words[i + 2]) AS three FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM split)
+), covered AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, three) AS times FROM windows), (SELECT unnest([0, 1, 2]) AS k) WHERE times > 1 GROUP BY doc_id
+), measures AS (
+  SELECT doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars, len(regexp_extract_all(body, '[#*$%&|<>]')) AS n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words,
+    len(lines) AS n_lines, length(regexp_replace(body, '[^\\p{{L}}]+', '', 'g')) AS n_letters, length(regexp_replace(body, '[^\\p{{Lu}}]+', '', 'g')) AS n_capitals
+  FROM split LEFT JOIN covered USING (doc_id)
+), cast_votes AS (
+  SELECT *, [{", ".join(f"CASE WHEN {yes} THEN 1 WHEN {no} THEN -1 ELSE 0 END" for yes, no in rules.values())}] AS votes FROM measures
+), patterns AS (SELECT votes, CAST(count(*) AS DOUBLE) AS n FROM cast_votes GROUP BY votes), fit AS (
+  SELECT 0 AS round, CAST({START_PRIOR} AS DOUBLE) AS prior, {[START_GOOD] * len(rules)}::DOUBLE[] AS good, {[START_BAD] * len(rules)}::DOUBLE[] AS bad, CAST(1 AS DOUBLE) AS moved
+  UNION ALL
+  SELECT round, prior, good, bad, greatest({moved}) FROM (
+    SELECT round + 1 AS round, was, old_good, old_bad, prior, good, [{", ".join(f"greatest(wrong[{j}], 1 - good[{j}])" for j in many)}] AS bad FROM (
+      SELECT round, prior AS was, good AS old_good, bad AS old_bad, {bounded("sum(mass) / sum(n)")} AS prior, [{", ".join(share(1, "mass", j, START_GOOD) for j in many)}] AS good, [{", ".join(share(-1, "(n - mass)", j, START_BAD) for j in many)}] AS wrong
+      FROM (SELECT fit.*, votes, n, n * prior * {good} / (prior * {good} + (1 - prior) * {bad}) AS mass FROM fit, patterns WHERE round < {rounds} AND moved >= {SETTLED})
+      GROUP BY round, prior, good, bad
+    )
+  )
+), fitted AS (SELECT * FROM fit ORDER BY round DESC LIMIT 1)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, {BASE_FAILED} AS base_failed,
+  NOT ({BASE_FAILED}) AND prior * {good} / (prior * {good} + (1 - prior) * {bad}) >= {threshold} AS kept
+FROM cast_votes, fitted
+"""

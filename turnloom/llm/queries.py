@@ -78,4 +78,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLE_SQL: dict[str, str] = {"op2_chat_formatting": chat_format.sql(), "op8_line_dedup": line_dedup.sql()}
+ORACLE_SQL: dict[str, str] = {"op1_quality_rules": quality_rules.sql(), "op2_chat_formatting": chat_format.sql(), "op8_line_dedup": line_dedup.sql(), "op9_warc": warc.sql()}

@@ -340,3 +340,15 @@ def round_trip(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url
         of_page("record_id").alias("page_id"), F.when(revisit, F.col("found_payload_length")).otherwise(F.col("payload_length")).alias("payload_bytes"), F.when(revisit, F.col("found_digest")).otherwise(F.col("digest")).alias("payload_digest"),
         "record_type", of_page("refers_to").alias("refers_to"), (F.col("complete") & (~revisit | F.col("found_digest").isNotNull())).alias("complete"),
     )
+
+
+def sql() -> str:
+    """DuckDB SQL for round_trip() over pages whose ids are not null."""
+    digit = lambda k: f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((part >> {35 - 5 * k}) & 31 AS INTEGER) + 1, 1)"
+    return f"""
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hex FROM pages), parts AS (
+  SELECT DISTINCT hex, k, CAST(concat('0x', substr(hex, 1 + 10 * k, 10)) AS BIGINT) AS part FROM payloads, (SELECT unnest([0, 1, 2, 3]) AS k)
+), digests AS (SELECT hex, string_agg({" || ".join(digit(k) for k in range(8))}, '' ORDER BY k) AS payload_digest FROM parts GROUP BY hex), typed AS (SELECT *, min(page_id) OVER (PARTITION BY payload) AS first FROM payloads)
+SELECT page_id, CAST(octet_length(encode(payload)) AS BIGINT) AS payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to, true AS complete
+FROM typed JOIN digests USING (hex)
+"""

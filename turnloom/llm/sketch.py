@@ -25,7 +25,7 @@ from turnloom.llm.shared import words
 #: Words of a shingle; the fraction, one in so many; the least hashes of a sketch.
 SHINGLE, ONE_IN, LEAST = 5, 8, 64
 #: Bytes of text that a range of ids holds, about, and at most so many ranges.
-RANGE_BYTES, MOST_RANGES = 32 << 20, 1 << 16
+RANGE_BYTES, MOST_RANGES = 4 << 20, 1 << 16
 
 
 def sketch(text: Column, shingle: int = SHINGLE, one_in: int = ONE_IN) -> Column:

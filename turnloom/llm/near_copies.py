@@ -17,7 +17,7 @@ shares, so no link between components is lost.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -75,8 +75,8 @@ def _arrays(sets: list[np.ndarray]) -> pa.ListArray:
 
 
 def sets(rows: DataFrame, wanted: np.ndarray | None = None) -> DataFrame:
-    """key, shingles: the shingle set of each row (key, text); wanted: bits by key modulo their number, rows without one are left out."""
-    schema = pa.schema([("key", pa.int64()), ("shingles", pa.list_(pa.int64()))])
+    """node, shingles: the shingle set of each row (key, text); wanted: bits by key modulo their number, rows without one are left out."""
+    schema = pa.schema([("node", pa.int64()), ("shingles", pa.list_(pa.int64()))])
     shared = rows.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,9 +86,10 @@ def sets(rows: DataFrame, wanted: np.ndarray | None = None) -> DataFrame:
                 at = batch.column(0).to_numpy() & (8 * len(bits) - 1)
                 batch = batch.filter(pa.array((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1))
             for part in slices(batch, 1, _PORTION):
-                yield pa.record_batch([part.column(0), _arrays([_hashed(t.as_py() or "", known) for t in part.column(1)])], schema=schema)
+                own = [_hashed(t.as_py() or "", known) for t in part.column(1)]
+                yield pa.record_batch([pa.array(map(_node, own), pa.int64()), _arrays(own)], schema=schema)
 
-    return map_arrow(rows.select("key", "text"), run, "key long, shingles array<long>")
+    return map_arrow(rows.select("key", "text"), run, "node long, shingles array<long>")
 
 
 def _bits(keys: DataFrame) -> np.ndarray:
@@ -218,41 +219,59 @@ def simhash_pairs(nodes: DataFrame) -> DataFrame:
     return equal.unionByName(near.join(of("a"), "a_fp").join(of("b"), "b_fp").select("a", "b")).withColumn("cell", F.col("b"))
 
 
-def _overlapping(pairs: pa.Table, sets_of: pa.Table) -> pa.Table:
-    """The pairs (a, b) of keys whose sets have a similarity of at least 4/5."""
-    lists = sets_of.column("shingles").combine_chunks()
+def _lists(table: pa.Table) -> dict[int, np.ndarray]:
+    lists = table.column("hashes").combine_chunks()
     ends, values = lists.offsets.to_numpy(), lists.values.to_numpy()
-    own = {key: values[ends[k] : ends[k + 1]] for k, key in enumerate(sets_of.column("key").to_pylist())}
-    keep = []
-    for a, b in zip(pairs.column("a_key").to_pylist(), pairs.column("b_key").to_pylist(), strict=True):
-        x, y = own[a], own[b]
-        keep.append(9 * len(np.intersect1d(x, y, assume_unique=True)) >= 4 * (len(x) + len(y)))
-    return pairs.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+    return {key: values[ends[k] : ends[k + 1]] for k, key in enumerate(table.column("key").to_pylist())}
+
+
+def _within_reach(pairs: pa.Table, prefixes: pa.Table) -> pa.Table:
+    """The pairs whose sets can have a similarity of 4/5, by what their prefixes share and the larger rest of the two."""
+    own, sizes = _lists(prefixes), dict(zip(prefixes.column("key").to_pylist(), prefixes.column("n").to_pylist(), strict=True))
+    keep, none = [], np.zeros(0, dtype=np.int64)
+    for a, b in zip(pairs.column("a").to_pylist(), pairs.column("b").to_pylist(), strict=True):
+        x, y, m, n = own.get(a, none), own.get(b, none), sizes.get(a, 0), sizes.get(b, 0)
+        shared = len(np.intersect1d(x, y, assume_unique=True))
+        keep.append(9 * (shared + max(m - len(x), n - len(y))) >= 4 * (m + n) and 5 * min(m, n) >= 4 * max(m, n))
+    return pairs.filter(pa.array(keep, pa.bool_()))
+
+
+def _similar(pairs: pa.Table, sets_of: pa.Table) -> pa.Table:
+    """The pairs whose sets have a similarity of at least 4/5."""
+    own, keep = _lists(sets_of), []
+    for a, b in zip(pairs.column("a").to_pylist(), pairs.column("b").to_pylist(), strict=True):
+        keep.append(9 * len(np.intersect1d(own[a], own[b], assume_unique=True)) >= 4 * (len(own[a]) + len(own[b])))
+    return pairs.filter(pa.array(keep, pa.bool_()))
+
+
+def _in_cells(pairs: DataFrame, items: DataFrame, check: Callable[[pa.Table, pa.Table], pa.Table]) -> DataFrame:
+    """The pairs (a, b, cell, part) that pass a check of items (key, hashes, ...), each item moved once to each part that needs it."""
+    needed = pairs.select(F.col("cell").alias("of_cell"), F.col("part").alias("of_part"), F.explode(F.array("a", "b")).alias("key")).distinct()
+    needed = needed.join(items.dropDuplicates(["key"]), "key")
+    importable(pairs.sparkSession)
+    return pairs.groupBy("cell", "part").cogroup(needed.groupBy("of_cell", "of_part")).applyInArrow(check, "a long, b long, cell long, part int")
 
 
 def similar(pairs: DataFrame, found: DataFrame, docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The pairs (a, b) of nodes whose whole sets have a similarity of at least 4/5, stored; found: as of features().
 
-    Pairs meet their sets in cells: a set moves once to each cell with pairs of its node, not once for each pair. Cells with
-    many pairs are dealt to parts of about PAIRS pairs, so that a task never holds more than the sets of one part.
+    Pairs meet what is needed of their nodes in cells: it moves once to each cell with pairs of its node, not once for each
+    pair. Cells with many pairs are dealt to parts of about PAIRS pairs, so that a task never holds more than the sets of
+    one part. Prefixes, a fifth of the sets, rule most pairs out; only what is left is compared by whole sets.
     """
-    spark, options = pairs.sparkSession, {"id_col": id_col, "text_col": text_col}
-    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    one = found.join(nodes, "node", "left_semi").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "text_hash")).alias("first"))
-    key = lambda i, text: F.xxhash64(i, text)
-    one = stored(one.select("node", key("first.doc_id", "first.text_hash").alias("key")), "to-verify")
-    texts = docs.select(key(F.col(options["id_col"]).cast("long"), text_hash(options["text_col"])).alias("key"), F.col(options["text_col"]).alias("text"))
-    whole, path = stored_at(sets(texts, _bits(one)), "shingle-sets")
-    of = lambda side: one.select(F.col("node").alias(side), F.col("key").alias(f"{side}_key"))
     parts = pairs.groupBy("cell").agg((1 + F.floor(F.count(F.lit(1)) / PAIRS)).cast("int").alias("parts")).where("parts > 1")
     dealt = pairs.join(parts, "cell", "left").withColumn("part", F.coalesce(F.pmod(F.xxhash64("a"), F.col("parts")), F.lit(0)).cast("int"))
-    dealt = stored(dealt.join(of("a"), "a").join(of("b"), "b").select("cell", "part", "a", "b", "a_key", "b_key"), "dealt-pairs")
-    needed = dealt.select(F.col("cell").alias("of_cell"), F.col("part").alias("of_part"), F.explode(F.array("a_key", "b_key")).alias("key")).distinct()
-    needed = needed.join(whole.dropDuplicates(["key"]), "key").select("of_cell", "of_part", "key", "shingles")
-    importable(spark)
-    met = dealt.groupBy("cell", "part").cogroup(needed.groupBy("of_cell", "of_part")).applyInArrow(_overlapping, "a long, b long")
-    kept = stored(met.distinct(), "links")
-    discard(spark, path)
+    dealt = stored(dealt.select("a", "b", "cell", "part"), "dealt-pairs")
+    nodes = lambda of: of.select(F.col("a").alias("node")).unionByName(of.select(F.col("b").alias("node"))).distinct()
+    prefixes = found.where(F.size("prefix") > 0).join(nodes(dealt), "node", "left_semi").select(F.col("node").alias("key"), "n", F.col("prefix").alias("hashes"))
+    likely = stored(_in_cells(dealt, prefixes, _within_reach), "likely-pairs")
+    one = found.select("doc_id", "text_hash", "node").join(nodes(likely), "node", "left_semi").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "text_hash")).alias("first"))
+    one = stored(one.select(F.xxhash64("first.doc_id", "first.text_hash").alias("key")), "to-verify")
+    texts = docs.select(F.xxhash64(F.col(id_col).cast("long"), text_hash(text_col)).alias("key"), F.col(text_col).alias("text"))
+    whole, path = stored_at(sets(texts, _bits(one)).withColumnsRenamed({"node": "key", "shingles": "hashes"}), "shingle-sets")
+    wanted = whole.join(nodes(likely).withColumnRenamed("node", "key"), "key", "left_semi")
+    kept = stored(_in_cells(likely, wanted, _similar).select("a", "b").distinct(), "links")
+    discard(pairs.sparkSession, path)
     return kept
 
 

@@ -36,6 +36,10 @@ def held(column: Column) -> Column:
     return F.when(F.monotonically_increasing_id() >= 0, column)
 
 
+#: Where the tables of this process are, in the order in which they were stored.
+made: list[str] = []
+
+
 def discard(spark: SparkSession, path: str | None = None) -> None:
     """Deletes all intermediate tables of this application, or one of them; results that still read them can't be used any more."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path or shared_folder(spark))
@@ -54,6 +58,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def stored_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """As stored(), and where the table is, for one that is discarded as soon as what was made of it is stored itself."""
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    made.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 

@@ -133,11 +133,11 @@ def fit(patterns: DataFrame, many: int, rounds: int = ROUNDS) -> Fit:
     return state
 
 
-def judged(docs: DataFrame, *, text_col: str = "text", rules: dict[str, tuple[str, str]] = RULES, threshold: float = THRESHOLD) -> DataFrame:
-    """docs with one more column, a struct named ``verdict`` (or with underscores behind, if that is taken).
+def judged(docs: DataFrame, *, text_col: str = "text", rules: dict[str, tuple[str, str]] = RULES, threshold: float = THRESHOLD, columns: list[str] | None = None) -> DataFrame:
+    """docs (or only some of its columns) with one more column, a struct named ``verdict`` (or with underscores behind, if that is taken).
 
     It has the MEASURES, base_failed, votes, posterior (probability of being good) and kept: not base_failed, and the
-    posterior at least the threshold. The measures are taken once and stored with docs, for the fit and the verdicts; only
+    posterior at least the threshold. The measures are taken once and stored with those columns, for the fit and the verdicts; only
     the counts of vote patterns are shuffled, and one row of sums per round comes to the driver.
 
     Defined results: a null or empty text has no words, so it is base_failed; repeated rows count and are judged as
@@ -146,7 +146,8 @@ def judged(docs: DataFrame, *, text_col: str = "text", rules: dict[str, tuple[st
     # columns of their own: Spark would write the fields of a struct out wherever they are used, and evaluate them as often
     *names, ballot = _free([f"_{m}" for m in MEASURES] + ["_votes"], docs.columns)
     (verdict,) = _free(["verdict"], docs.columns)
-    marked = stored(measured(docs, text_col, names).withColumn(ballot, votes(names, rules)), "measured")
+    kept_columns = docs.columns if columns is None else columns
+    marked = stored(measured(docs, text_col, names).withColumn(ballot, votes(names, rules)).select(*kept_columns, *names, ballot), "measured")
     patterns = marked.groupBy(F.col(ballot).alias("votes")).agg(F.count(F.lit(1)).alias("n"))
     fitted = fit(stored(patterns, "vote-patterns"), len(rules))
     failed, posterior = _over(names, BASE_FAILED), fitted.posterior(F.col(ballot))

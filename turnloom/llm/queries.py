@@ -20,7 +20,7 @@ def _vocabulary(name: str) -> str:
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = quality_rules.judged(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    judged = quality_rules.judged(_table(spark, sf_dir, "documents"), columns=["doc_id"])
     fields = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
     return judged.select("doc_id", *[f"verdict.{name}" for name in fields])
 

@@ -8,11 +8,12 @@ fingerprints of 64 bits differ in some ten bits, which no deletion variants reac
 from prefixes: two sets of that similarity share a shingle among the first n - ceil(4n/5) + 1 of each, in any order that
 all texts agree on. Shingles that many of a sample of texts have come last in that order.
 
-No group is expanded into all its pairs. Nodes that share a prefix shingle are first compared with one of them, whose
+Groups are not expanded into all their pairs. Nodes that share a prefix shingle are first compared with one of them, whose
 prefix has the shingle earliest: the most central one. What that links is one component. Only nodes outside of the
 component of their shingle's centre are then compared with the others there, and only where the places of the shingle
 leave enough of both sets to reach the similarity. A pair that is similar meets that condition at the first shingle it
-shares, so no link between components is lost.
+shares, so no link between components is lost. Texts of a family that are not similar to its centre, nor to each other,
+are what this compares pair by pair: a very large family of such texts costs the square of its size.
 """
 
 from __future__ import annotations

@@ -382,6 +382,41 @@ def test_near_copies_of_one_family(spark, monkeypatch):
     assert {min(x) for x in found.values()} == jaccard_survivors(rows)
 
 
+def test_near_copies_of_shared_passages(spark):
+    """Texts made of the same passages: a shingle counts once for its set of texts, unlike texts are ruled out unmet, similar ones are not."""
+    rng = random.Random(13)
+    passages = [[f"p{k}w{w}" for w in range(30)] for k in range(20)]
+    rows = []
+    for k in range(60):
+        text = [w for p in rng.sample(passages, 6) for w in p]
+        rows.append((2 * k, " ".join(text)))
+        for at in rng.sample(range(len(text)), rng.randint(1, 6)):
+            text[at] = f"x{k}"
+        rows.append((2 * k + 1, " ".join(text)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = near_copies.features(df)
+    shared = near_copies.members(found).localCheckpoint()
+    having = {}
+    for r in shared.collect():
+        having.setdefault(r["h"], set()).add(r["node"])
+    assert len({frozenset(x) for x in having.values()}) == len(having) and min(map(len, having.values())) > 1
+
+    unlinked = spark.createDataFrame([], "node long, root long")
+    met = {(r["a"], r["b"]) for r in near_copies.other_pairs(shared, near_copies.each(found), unlinked).collect()}
+    node = {r["doc_id"]: r["node"] for r in found.collect()}
+    seen = 0
+    for (i, x), (j, y) in combinations(rows, 2):
+        x, y = shingles(x), shingles(y)
+        pair = max(node[i], node[j]), min(node[i], node[j])
+        if 5 * len(x & y) >= 4 * len(x | y):
+            seen += 1
+            assert pair in met
+        elif 2 * len(x & y) < len(x | y):
+            assert pair not in met
+    assert seen > 20
+    assert {r["doc_id"] for r in near_copies.one_of_each(df).collect()} == jaccard_survivors(rows)
+
+
 # sketches
 
 

@@ -8,12 +8,16 @@ fingerprints of 64 bits differ in some ten bits, which no deletion variants reac
 from prefixes: two sets of that similarity share a shingle among the first n - ceil(4n/5) + 1 of each, in any order that
 all texts agree on. Shingles that many of a sample of texts have come last in that order.
 
+Of shingles that the prefixes of exactly the same nodes have, such as those of a passage that goes from text to text, only
+the first in that order counts: for any two of these nodes, no other of them can be the first shingle that they share.
+
 Groups are not expanded into all their pairs. Nodes that share a prefix shingle are first compared with one of them, whose
 prefix has the shingle earliest: the most central one. What that links is one component. Only nodes outside of the
 component of their shingle's centre are then compared with the others there, and only where the places of the shingle
-leave enough of both sets to reach the similarity. A pair that is similar meets that condition at the first shingle it
-shares, so no link between components is lost. Texts of a family that are not similar to its centre, nor to each other,
-are what this compares pair by pair: a very large family of such texts costs the square of its size.
+leave enough of both sets to reach the similarity and the parities of the sets do not rule it out: a shingle flips one
+bit, so two sets differ by at least as many shingles as their parities differ by bits. A pair that is similar meets all
+that at the first shingle it shares, so no link between components is lost. Texts of a family that are nearly similar
+are still compared pair by pair: a very large family of such texts costs the square of its size.
 """
 
 from __future__ import annotations
@@ -38,6 +42,8 @@ DEALT = 64
 PAIRS = 512
 #: Bits that mark the texts to verify; others that share a bit are hashed once more for nothing.
 MARKED = 1 << 26
+#: Longs that hold the parity of a set; that only bears on cost.
+PARITY = 16
 #: Odd multipliers, one for each place of a word in a shingle.
 _PLACES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 _MOST_WORDS, _MOST_NODES = 1 << 15, 1 << 16
@@ -109,8 +115,10 @@ def _common(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     share = SAMPLE / max(rows.count(), 1)
     sample = rows.where(F.pmod("key", F.lit(1 << 20)) < int(share * (1 << 20))) if share < 1 else rows
     counts = sets(sample.dropDuplicates(["key"])).select(F.explode("shingles").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("n"))
-    found = sorted((r["n"], r["h"]) for r in counts.where(F.col("n") >= COMMON).collect())
-    return np.array([h for _, h in found], dtype=np.int64), np.array([n for n, _ in found], dtype=np.int64)
+    found = counts.where(F.col("n") >= COMMON).toArrow()
+    shingles, many = found.column("h").to_numpy(), found.column("n").to_numpy()
+    order = np.lexsort((shingles, many))
+    return shingles[order], many[order]
 
 
 def _fingerprints(sets_of: list[np.ndarray]) -> np.ndarray:
@@ -125,6 +133,13 @@ def _fingerprints(sets_of: list[np.ndarray]) -> np.ndarray:
     return found
 
 
+def _parities(sets_of: list[np.ndarray]) -> list[np.ndarray]:
+    """For each set a bit for each value of its hashes modulo their number: whether an odd number of hashes has it."""
+    bits = 64 * PARITY
+    counts = [np.bincount(own & (bits - 1), minlength=bits) for own in sets_of]
+    return [np.packbits((n & 1).astype(np.uint8), bitorder="little").view("<i8") for n in counts]
+
+
 def _node(shingles: np.ndarray) -> int:
     import xxhash
 
@@ -132,21 +147,21 @@ def _node(shingles: np.ndarray) -> int:
 
 
 def features(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, text_hash (null for a null text), node (of the shingle set), fp (its SimHash), n (its size), prefix, salts for each row.
+    """doc_id, text_hash (null for a null text), node (of the shingle set), fp (its SimHash), n (its size), prefix, salts, parity for each row.
 
-    Of copies within a task, only one has a prefix; salts is over how many parts each of its shingles is dealt.
+    Of copies within a task, only one has a prefix and a parity (else null); salts is over how many parts each of its shingles is dealt.
     """
     common, counts = _common(docs.where(F.col(text_col).isNotNull()).select(text_hash(text_col).alias("key"), F.col(text_col).alias("text")))
     ordered = np.argsort(common, kind="stable")
     shared = docs.sparkSession.sparkContext.broadcast((common[ordered], ordered, 1 + counts[ordered] // DEALT))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_hash(text_col).alias("text_hash"), F.col(text_col).alias("text"))
-    schema = pa.schema([*((name, pa.int64()) for name in ("doc_id", "text_hash", "node", "fp", "n")), ("prefix", pa.list_(pa.int64())), ("salts", pa.list_(pa.int64()))])
+    schema = pa.schema([*((name, pa.int64()) for name in ("doc_id", "text_hash", "node", "fp", "n")), ("prefix", pa.list_(pa.int64())), ("salts", pa.list_(pa.int64())), ("parity", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (frequent, rank, parts), known, seen = shared.value, {}, set()
         for batch in (part for whole in batches for part in slices(whole, 2, _PORTION)):
             sets_of = [_hashed(t.as_py() or "", known) for t in batch.column(2)]
-            nodes, prefixes, salts = [_node(own) for own in sets_of], [], []
+            nodes, prefixes, salts, new = [_node(own) for own in sets_of], [], [], []
             for own, node in zip(sets_of, nodes, strict=True):
                 parted = np.ones(len(own), dtype=np.int64)
                 if node in seen:
@@ -157,57 +172,65 @@ def features(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
                     order = rank[place[last]].argsort()
                     parted = np.concatenate([parted[~last], parts[place[last]][order]])
                     own = np.concatenate([own[~last], own[last][order]])
+                new.append(node not in seen)
                 if len(seen) >= _MOST_NODES:
                     seen.clear()
                 seen.add(node)
                 many = len(own) - (4 * len(own) + 4) // 5 + 1 if len(own) else 0
                 prefixes.append(own[:many])
                 salts.append(parted[:many])
-            columns = [pa.array(nodes, pa.int64()), pa.array(_fingerprints(sets_of), pa.int64()), pa.array([len(x) for x in sets_of], pa.int64()), _arrays(prefixes), _arrays(salts)]
+            parities = iter(_parities([own for own, first in zip(sets_of, new, strict=True) if first]))
+            parity = pa.array([next(parities) if first else None for first in new], pa.list_(pa.int64()))
+            columns = [pa.array(nodes, pa.int64()), pa.array(_fingerprints(sets_of), pa.int64()), pa.array([len(x) for x in sets_of], pa.int64()), _arrays(prefixes), _arrays(salts), parity]
             yield pa.record_batch([batch.column(0), batch.column(1), *columns], schema=schema)
 
-    return map_arrow(rows, run, "doc_id long, text_hash long, node long, fp long, n long, prefix array<long>, salts array<long>")
+    return map_arrow(rows, run, "doc_id long, text_hash long, node long, fp long, n long, prefix array<long>, salts array<long>, parity array<long>")
 
 
 def members(found: DataFrame) -> DataFrame:
-    """h, node, n, at (the place of h in the prefix), salt, salts: prefix shingles that several nodes of their part have, or that are dealt to several parts."""
+    """h, salt, salts, node, n, at, centre, centre_n, centre_at, stored: nodes by the prefix shingles that several of them have.
+
+    at is the place of h in the prefix, salt the part of salts that the node is dealt to, the centre the node that has h
+    earliest. Of shingles that exactly the same nodes have, only the first in the order of all prefixes is there. Sets of
+    nodes are told apart by their number and 128 bits of hashes.
+    """
     places = found.select("node", F.col("n").cast("int").alias("n"), F.posexplode(F.arrays_zip("prefix", "salts")).alias("at", "of"))
     places = places.select("of.prefix", "node", "n", "at", F.col("of.salts").cast("int").alias("salts")).withColumnRenamed("prefix", "h").withColumn("salt", F.pmod("node", "salts").cast("int"))
     dealt = places.repartition("h", "salt").dropDuplicates(["h", "salt", "node"])
     many = F.count(F.lit(1)).over(Window.partitionBy("h", "salt"))
-    return dealt.withColumn("many", many).where("many > 1 OR salts > 1").drop("many")
-
-
-def _centres(shared: DataFrame) -> DataFrame:
-    """of_h, of_salt, centre, centre_n, centre_at: for each shingle of several nodes, the one that has it earliest, for each part."""
-    centre = F.min(F.struct("at", "node", "n")).alias("centre")
-    found = shared.groupBy("h").agg(F.count(F.lit(1)).alias("many"), F.max("salts").alias("salts"), centre).where("many > 1")
-    return found.select(F.col("h").alias("of_h"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("of_salt"), F.col("centre.node").alias("centre"), F.col("centre.n").alias("centre_n"), F.col("centre.at").alias("centre_at"))
-
-
-_OF_PART = "h = of_h AND salt = of_salt"
+    dealt, path = stored_at(dealt.withColumn("many", many).where("many > 1 OR salts > 1").drop("many"), "prefix-shingles")
+    own = [F.count(F.lit(1)).alias("many"), F.bit_xor("node").alias("nodes"), F.bit_xor(F.xxhash64("node")).alias("hashes")]
+    of = dealt.groupBy("h").agg(*own, F.max("salts").alias("salts"), F.min(F.struct("at", "node", "n")).alias("centre"), F.min(F.struct("node", "at")).alias("least")).where("many > 1")
+    first = of.groupBy("many", "nodes", "hashes").agg(F.min(F.struct("least.at", "h", "salts", "centre")).alias("first"))
+    centres = first.select(F.col("first.h").alias("of_h"), F.explode(F.sequence(F.lit(0), F.col("first.salts") - 1)).alias("of_salt"), F.col("first.centre").alias("of"))
+    centre = [F.col("of.node").alias("centre"), F.col("of.n").alias("centre_n"), F.col("of.at").alias("centre_at")]
+    shared = stored(dealt.join(centres.hint("merge"), F.expr("h = of_h AND salt = of_salt")).select("h", "salt", "salts", "node", "n", "at", *centre), "shared-shingles")
+    discard(found.sparkSession, path)
+    return shared
 
 
 def central_pairs(shared: DataFrame) -> DataFrame:
     """a, b, cell: each node with the centres (b) of its prefix shingles, as far as they may be similar."""
     enough = "9 * (n - at) >= 4 * (n + centre_n) AND 9 * (centre_n - centre_at) >= 4 * (n + centre_n)"
-    met = shared.join(_centres(shared).hint("merge"), F.expr(f"{_OF_PART} AND node <> centre AND {enough}"))
+    met = shared.where(f"node <> centre AND {enough}")
     return met.select(F.col("node").alias("a"), F.col("centre").alias("b"), F.col("centre").alias("cell")).distinct()
 
 
-def other_pairs(shared: DataFrame, rooted: DataFrame) -> DataFrame:
+def other_pairs(shared: DataFrame, nodes: DataFrame, rooted: DataFrame) -> DataFrame:
     """a, b (a > b), cell (a centre): pairs that share a prefix shingle and are in different components (node, root), as far as they may be similar.
 
-    One of them is outside of the component of the shingle's centre. A pair whose first shared shingle stands at some
-    place in each set has at most what is left from there in common.
+    nodes has the parities. One of a pair is outside of the component of the shingle's centre; if both are, they meet once.
+    A pair whose first shared shingle stands at some place in each set has at most what is left from there in common.
     """
     of = rooted.select(F.col("node").alias("of_node"), F.col("root").alias("of_root"))
-    placed = stored(shared.join(of, F.col("node") == F.col("of_node"), "left").withColumn("part_of", F.coalesce("of_root", "node")).drop("of_node", "of_root"), "placed")
-    centres = _centres(placed).join(of, F.col("centre") == F.col("of_node"), "left").select("of_h", "of_salt", "centre", F.coalesce("of_root", "centre").alias("main"))
-    odd = placed.join(centres.hint("merge"), F.expr(_OF_PART)).where("part_of <> main").withColumn("of_salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
-    odd = stored(odd.select("of_h", "of_salt", "centre", F.col("node").alias("x"), F.col("n").alias("x_n"), F.col("at").alias("x_at"), F.col("part_of").alias("x_part")), "odd")
-    enough = "part_of <> x_part AND 9 * (n - at) >= 4 * (n + x_n) AND 9 * (x_n - x_at) >= 4 * (n + x_n)"
-    met = placed.join(odd.hint("merge"), F.expr(f"{_OF_PART} AND {enough}"))
+    known = nodes.join(of, F.col("node") == F.col("of_node"), "left").select(F.col("node").alias("known"), F.coalesce("of_root", "node").alias("part_of"), "parity")
+    placed = shared.join(known.hint("merge"), F.col("node") == F.col("known")).join(of, F.col("centre") == F.col("of_node"), "left").withColumn("odd", F.col("part_of") != F.coalesce("of_root", "centre"))
+    placed = stored(placed.select("h", "salt", "salts", "node", "n", "at", "centre", "part_of", "odd", "parity"), "placed")
+    odd = placed.where("odd").select(F.col("h").alias("of_h"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("of_salt"), F.col("node").alias("x"), F.col("n").alias("x_n"), F.col("at").alias("x_at"), F.col("part_of").alias("x_part"), F.col("parity").alias("x_parity"))
+    enough = "9 * (n - at) >= 4 * (n + x_n) AND 9 * (x_n - x_at) >= 4 * (n + x_n)"
+    differ = " + ".join(f"bit_count(parity[{k}] ^ x_parity[{k}])" for k in range(PARITY))
+    once = "part_of <> x_part AND (NOT odd OR node > x)"
+    met = placed.join(odd.hint("merge"), F.expr(f"h = of_h AND salt = of_salt AND {once} AND {enough} AND 9 * ({differ}) <= n + x_n"))
     return met.groupBy(F.greatest("node", "x").alias("a"), F.least("node", "x").alias("b")).agg(F.min("centre").alias("cell"))
 
 
@@ -253,8 +276,8 @@ def _in_cells(pairs: DataFrame, items: DataFrame, check: Callable[[pa.Table, pa.
     return pairs.groupBy("cell", "part").cogroup(needed.groupBy("of_cell", "of_part")).applyInArrow(check, "a long, b long, cell long, part int")
 
 
-def similar(pairs: DataFrame, found: DataFrame, docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The pairs (a, b) of nodes whose whole sets have a similarity of at least 4/5, stored; found: as of features().
+def similar(pairs: DataFrame, found: DataFrame, nodes: DataFrame, docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The pairs (a, b) of nodes whose whole sets have a similarity of at least 4/5, stored; found: as of features(), nodes: as of each().
 
     Pairs meet what is needed of their nodes in cells: it moves once to each cell with pairs of its node, not once for each
     pair. Cells with many pairs are dealt to parts of about PAIRS pairs, so that a task never holds more than the sets of
@@ -263,33 +286,38 @@ def similar(pairs: DataFrame, found: DataFrame, docs: DataFrame, *, id_col: str
     parts = pairs.groupBy("cell").agg((1 + F.floor(F.count(F.lit(1)) / PAIRS)).cast("int").alias("parts")).where("parts > 1")
     dealt = pairs.join(parts, "cell", "left").withColumn("part", F.coalesce(F.pmod(F.xxhash64("a"), F.col("parts")), F.lit(0)).cast("int"))
     dealt = stored(dealt.select("a", "b", "cell", "part"), "dealt-pairs")
-    nodes = lambda of: of.select(F.col("a").alias("node")).unionByName(of.select(F.col("b").alias("node"))).distinct()
-    prefixes = found.where(F.size("prefix") > 0).join(nodes(dealt), "node", "left_semi").select(F.col("node").alias("key"), "n", F.col("prefix").alias("hashes"))
+    either = lambda of: of.select(F.col("a").alias("node")).unionByName(of.select(F.col("b").alias("node"))).distinct()
+    prefixes = found.where(F.size("prefix") > 0).join(either(dealt), "node", "left_semi").select(F.col("node").alias("key"), "n", F.col("prefix").alias("hashes"))
     likely = stored(_in_cells(dealt, prefixes, _within_reach), "likely-pairs")
-    one = found.select("doc_id", "text_hash", "node").join(nodes(likely), "node", "left_semi").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "text_hash")).alias("first"))
-    one = stored(one.select(F.xxhash64("first.doc_id", "first.text_hash").alias("key")), "to-verify")
+    one = stored(nodes.join(either(likely), "node", "left_semi").select(F.xxhash64("first.doc_id", "first.text_hash").alias("key")), "to-verify")
     texts = docs.select(F.xxhash64(F.col(id_col).cast("long"), text_hash(text_col)).alias("key"), F.col(text_col).alias("text"))
     whole, path = stored_at(sets(texts, _bits(one)).withColumnsRenamed({"node": "key", "shingles": "hashes"}), "shingle-sets")
-    wanted = whole.join(nodes(likely).withColumnRenamed("node", "key"), "key", "left_semi")
+    wanted = whole.join(either(likely).withColumnRenamed("node", "key"), "key", "left_semi")
     kept = stored(_in_cells(likely, wanted, _similar).select("a", "b").distinct(), "links")
     discard(pairs.sparkSession, path)
     return kept
 
 
+def each(found: DataFrame) -> DataFrame:
+    """node, fp, parity, first (its first row: without, doc_id, text_hash) for each node."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "text_hash")).alias("first")
+    return found.groupBy("node").agg(F.min("fp").alias("fp"), F.any_value("parity", F.lit(True)).alias("parity"), first)
+
+
 def groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, text_hash, root: the group of each row."""
     options = {"id_col": id_col, "text_col": text_col}
     found = stored(features(docs, **options), "features")
-    shared = stored(members(found), "shared-shingles")
-    nodes = stored(found.groupBy("node").agg(F.min("fp").alias("fp")), "nodes")
-    both = simhash_pairs(nodes).unionByName(central_pairs(shared))
+    shared = members(found)
+    nodes = stored(each(found), "nodes")
+    both = simhash_pairs(nodes.select("node", "fp")).unionByName(central_pairs(shared))
     first = stored(both.groupBy(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).agg(F.min("cell").alias("cell")), "first-pairs")
-    linked = similar(first, found, docs, **options)
+    linked = similar(first, found, nodes, docs, **options)
     rooted = components(linked)
-    others = stored(other_pairs(shared, rooted).join(first, ["a", "b"], "left_anti"), "other-pairs")
+    others = stored(other_pairs(shared, nodes, rooted).join(first, ["a", "b"], "left_anti"), "other-pairs")
     if others.head(1):  # components of the links found so far and of those that are new
         stars = rooted.select(F.col("node").alias("a"), F.col("root").alias("b"))
-        rooted = components(stars.unionByName(similar(others, found, docs, **options)))
+        rooted = components(stars.unionByName(similar(others, found, nodes, docs, **options)))
     return found.join(rooted.select(F.col("node").alias("of_node"), F.col("root").alias("of_root")), F.col("node") == F.col("of_node"), "left").select("doc_id", "text_hash", F.coalesce("of_root", "node").alias("root"))
 
 

@@ -382,8 +382,10 @@ def test_near_copies_of_one_family(spark, monkeypatch):
     assert {min(x) for x in found.values()} == jaccard_survivors(rows)
 
 
-def test_near_copies_of_shared_passages(spark):
+@pytest.mark.parametrize("large", [near_copies.LARGE, 64])
+def test_near_copies_of_shared_passages(spark, monkeypatch, large):
     """Texts made of the same passages: a shingle counts once for its set of texts, unlike texts are ruled out unmet, similar ones are not."""
+    monkeypatch.setattr(near_copies, "LARGE", large)
     rng = random.Random(13)
     passages = [[f"p{k}w{w}" for w in range(30)] for k in range(20)]
     rows = []
@@ -395,6 +397,7 @@ def test_near_copies_of_shared_passages(spark):
         rows.append((2 * k + 1, " ".join(text)))
     df = spark.createDataFrame(rows, "doc_id long, text string")
     found = near_copies.features(df)
+    assert all((r["wide"] is not None) == (r["n"] >= large) for r in found.collect())
     shared = near_copies.members(found).localCheckpoint()
     having = {}
     for r in shared.collect():

@@ -15,7 +15,8 @@ Groups are not expanded into all their pairs. Nodes that share a prefix shingle
 prefix has the shingle earliest: the most central one. What that links is one component. Only nodes outside of the
 component of their shingle's centre are then compared with the others there, and only where the places of the shingle
 leave enough of both sets to reach the similarity and the parities of the sets do not rule it out: a shingle flips one
-bit, so two sets differ by at least as many shingles as their parities differ by bits. A pair that is similar meets all
+bit, so two sets differ by at least as many shingles as their parities differ by bits (large sets have a second, wider
+parity: one with far fewer bits than the set has shingles says little). A pair that is similar meets all
 that at the first shingle it shares, so no link between components is lost. Texts of a family that are nearly similar
 are still compared pair by pair: a very large family of such texts costs the square of its size.
 """
@@ -42,8 +43,8 @@ DEALT = 64
 PAIRS = 512
 #: Bits that mark the texts to verify; others that share a bit are hashed once more for nothing.
 MARKED = 1 << 26
-#: Longs that hold the parity of a set; that only bears on cost.
-PARITY = 16
+#: Longs that hold the parity of a set, and from how many shingles on a set has a second one of how many; all only bear on cost.
+PARITY, LARGE, WIDE = 16, 1 << 11, 64
 #: Odd multipliers, one for each place of a word in a shingle.
 _PLACES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 _MOST_WORDS, _MOST_NODES = 1 << 15, 1 << 16
@@ -133,11 +134,10 @@ def _fingerprints(sets_of: list[np.ndarray]) -> np.ndarray:
     return found
 
 
-def _parities(sets_of: list[np.ndarray]) -> list[np.ndarray]:
-    """For each set a bit for each value of its hashes modulo their number: whether an odd number of hashes has it."""
-    bits = 64 * PARITY
-    counts = [np.bincount(own & (bits - 1), minlength=bits) for own in sets_of]
-    return [np.packbits((n & 1).astype(np.uint8), bitorder="little").view("<i8") for n in counts]
+def _parity(shingles: np.ndarray, longs: int) -> np.ndarray:
+    """A bit for each value of a set's hashes modulo the number of bits: whether an odd number of hashes has it."""
+    counts = np.bincount(shingles & (64 * longs - 1), minlength=64 * longs)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").view("<i8")
 
 
 def _node(shingles: np.ndarray) -> int:
@@ -147,15 +147,15 @@ def _node(shingles: np.ndarray) -> int:
 
 
 def features(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, text_hash (null for a null text), node (of the shingle set), fp (its SimHash), n (its size), prefix, salts, parity for each row.
+    """doc_id, text_hash (null for a null text), node (of the shingle set), fp (its SimHash), n (its size), prefix, salts, parity, wide for each row.
 
-    Of copies within a task, only one has a prefix and a parity (else null); salts is over how many parts each of its shingles is dealt.
+    Of copies within a task, only one has a prefix and a parity (else null), and a wide parity if it is large; salts is over how many parts each of its shingles is dealt.
     """
     common, counts = _common(docs.where(F.col(text_col).isNotNull()).select(text_hash(text_col).alias("key"), F.col(text_col).alias("text")))
     ordered = np.argsort(common, kind="stable")
     shared = docs.sparkSession.sparkContext.broadcast((common[ordered], ordered, 1 + counts[ordered] // DEALT))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_hash(text_col).alias("text_hash"), F.col(text_col).alias("text"))
-    schema = pa.schema([*((name, pa.int64()) for name in ("doc_id", "text_hash", "node", "fp", "n")), ("prefix", pa.list_(pa.int64())), ("salts", pa.list_(pa.int64())), ("parity", pa.list_(pa.int64()))])
+    schema = pa.schema([*((name, pa.int64()) for name in ("doc_id", "text_hash", "node", "fp", "n")), ("prefix", pa.list_(pa.int64())), ("salts", pa.list_(pa.int64())), *((name, pa.list_(pa.int64())) for name in ("parity", "wide"))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (frequent, rank, parts), known, seen = shared.value, {}, set()
@@ -179,12 +179,12 @@ def features(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
                 many = len(own) - (4 * len(own) + 4) // 5 + 1 if len(own) else 0
                 prefixes.append(own[:many])
                 salts.append(parted[:many])
-            parities = iter(_parities([own for own, first in zip(sets_of, new, strict=True) if first]))
-            parity = pa.array([next(parities) if first else None for first in new], pa.list_(pa.int64()))
-            columns = [pa.array(nodes, pa.int64()), pa.array(_fingerprints(sets_of), pa.int64()), pa.array([len(x) for x in sets_of], pa.int64()), _arrays(prefixes), _arrays(salts), parity]
+            parity = pa.array([_parity(own, PARITY) if first else None for own, first in zip(sets_of, new, strict=True)], pa.list_(pa.int64()))
+            wide = pa.array([_parity(own, WIDE) if first and len(own) >= LARGE else None for own, first in zip(sets_of, new, strict=True)], pa.list_(pa.int64()))
+            columns = [pa.array(nodes, pa.int64()), pa.array(_fingerprints(sets_of), pa.int64()), pa.array([len(x) for x in sets_of], pa.int64()), _arrays(prefixes), _arrays(salts), parity, wide]
             yield pa.record_batch([batch.column(0), batch.column(1), *columns], schema=schema)
 
-    return map_arrow(rows, run, "doc_id long, text_hash long, node long, fp long, n long, prefix array<long>, salts array<long>, parity array<long>")
+    return map_arrow(rows, run, "doc_id long, text_hash long, node long, fp long, n long, prefix array<long>, salts array<long>, parity array<long>, wide array<long>")
 
 
 def members(found: DataFrame) -> DataFrame:
@@ -223,14 +223,15 @@ def other_pairs(shared: DataFrame, nodes: DataFrame, rooted: DataFrame) -> DataF
     A pair whose first shared shingle stands at some place in each set has at most what is left from there in common.
     """
     of = rooted.select(F.col("node").alias("of_node"), F.col("root").alias("of_root"))
-    known = nodes.join(of, F.col("node") == F.col("of_node"), "left").select(F.col("node").alias("known"), F.coalesce("of_root", "node").alias("part_of"), "parity")
+    known = nodes.join(of, F.col("node") == F.col("of_node"), "left").select(F.col("node").alias("known"), F.coalesce("of_root", "node").alias("part_of"), "parity", "wide")
     placed = shared.join(known.hint("merge"), F.col("node") == F.col("known")).join(of, F.col("centre") == F.col("of_node"), "left").withColumn("odd", F.col("part_of") != F.coalesce("of_root", "centre"))
-    placed = stored(placed.select("h", "salt", "salts", "node", "n", "at", "centre", "part_of", "odd", "parity"), "placed")
-    odd = placed.where("odd").select(F.col("h").alias("of_h"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("of_salt"), F.col("node").alias("x"), F.col("n").alias("x_n"), F.col("at").alias("x_at"), F.col("part_of").alias("x_part"), F.col("parity").alias("x_parity"))
+    placed = stored(placed.select("h", "salt", "salts", "node", "n", "at", "centre", "part_of", "odd", "parity", "wide"), "placed")
+    odd = placed.where("odd").select(F.col("h").alias("of_h"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("of_salt"), F.col("node").alias("x"), F.col("n").alias("x_n"), F.col("at").alias("x_at"), F.col("part_of").alias("x_part"), F.col("parity").alias("x_parity"), F.col("wide").alias("x_wide"))
     enough = "9 * (n - at) >= 4 * (n + x_n) AND 9 * (x_n - x_at) >= 4 * (n + x_n)"
     differ = " + ".join(f"bit_count(parity[{k}] ^ x_parity[{k}])" for k in range(PARITY))
+    of_large = "coalesce(9 * aggregate(zip_with(wide, x_wide, (a, b) -> bit_count(a ^ b)), 0, (sum, bits) -> sum + bits) <= n + x_n, true)"
     once = "part_of <> x_part AND (NOT odd OR node > x)"
-    met = placed.join(odd.hint("merge"), F.expr(f"h = of_h AND salt = of_salt AND {once} AND {enough} AND 9 * ({differ}) <= n + x_n"))
+    met = placed.join(odd.hint("merge"), F.expr(f"h = of_h AND salt = of_salt AND {once} AND {enough} AND 9 * ({differ}) <= n + x_n AND {of_large}"))
     return met.groupBy(F.greatest("node", "x").alias("a"), F.least("node", "x").alias("b")).agg(F.min("centre").alias("cell"))
 
 
@@ -299,9 +300,9 @@ def similar(pairs: DataFrame, found: DataFrame, nodes: DataFrame, docs: DataFram
 
 
 def each(found: DataFrame) -> DataFrame:
-    """node, fp, parity, first (its first row: without, doc_id, text_hash) for each node."""
+    """node, fp, parity, wide, first (its first row: without, doc_id, text_hash) for each node."""
     first = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "text_hash")).alias("first")
-    return found.groupBy("node").agg(F.min("fp").alias("fp"), F.any_value("parity", F.lit(True)).alias("parity"), first)
+    return found.groupBy("node").agg(F.min("fp").alias("fp"), *(F.any_value(name, F.lit(True)).alias(name) for name in ("parity", "wide")), first)
 
 
 def groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
